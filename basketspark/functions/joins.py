@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,7 +55,7 @@ def salted_join(big: DataFrame, other: DataFrame, key: str, how: str = "inner",
 
 
 def grid_product(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                 kernel: Callable[[pd.DataFrame, pd.DataFrame], Iterator[pd.DataFrame] | pd.DataFrame], schema: str,
+                 kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str,
                  left_chunk: int = 4096, right_chunk: int = 8192) -> DataFrame:
     """Dense product of two keyed tables as independent blocks of bounded size.
 
@@ -72,8 +72,15 @@ def grid_product(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         left.withColumn("_p", F.pmod(F.xxhash64(left_id), F.lit(p)).cast("int"))
         .withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(q - 1))))
     )
+    # Own names for the right side, so that a table can be multiplied with itself.
+    names = {f"_r_{c}": c for c in right.columns}
     cols = (
-        right.withColumn("_q", F.pmod(F.xxhash64(right_id), F.lit(q)).cast("int"))
-        .withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(p - 1))))
+        right.select(*[F.col(c).alias(r) for r, c in names.items()])
+        .withColumn("_rq", F.pmod(F.xxhash64(f"_r_{right_id}"), F.lit(q)).cast("int"))
+        .withColumn("_rp", F.explode(F.sequence(F.lit(0), F.lit(p - 1))))
     )
-    return rows.groupBy("_p", "_q").cogroup(cols.groupBy("_p", "_q")).applyInPandas(kernel, schema)
+
+    def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return kernel(a, b.rename(columns=names))
+
+    return rows.groupBy("_p", "_q").cogroup(cols.groupBy("_rp", "_rq")).applyInPandas(cell, schema)

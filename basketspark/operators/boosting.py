@@ -71,7 +71,7 @@ def node_table(model, spark) -> DataFrame:
         F.col("treeID").alias("tree"), "nodeData.id", "nodeData.leftChild", "nodeData.rightChild", "nodeData.prediction",
         F.col("nodeData.rawCount").cast("double").alias("cover"), "nodeData.gain",
         F.col("nodeData.split.featureIndex").alias("feature_index"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
     )
 
 
