@@ -7,7 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "basketspark", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(app: str = "basketspark", master: str | None = None, shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """A session with the settings the library expects: UTC, AQE, skew-join handling."""
     builder = (
         SparkSession.builder.appName(app)
@@ -19,6 +20,8 @@ def build_session(app: str = "basketspark", master: str | None = None, shuffle_p
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:  # local masters only: the driver is the executor there
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -72,6 +72,6 @@ def compare(spark, folder: str, names: list[str] | None = None) -> dict[str, str
 if __name__ == "__main__":
     from basketspark.session import build_session
 
-    session = build_session(master="local[8]", shuffle_partitions=8)
+    session = build_session(master="local[8]", shuffle_partitions=8, driver_memory="12g")
     result = compare(session, sys.argv[1], sys.argv[2:] or None)
     print(sum(v == "ok" for v in result.values()), "of", len(result), "ok")

@@ -82,7 +82,8 @@ for s in ("train", "test"):
              first_purchase, repurchased, future_spend
       FROM rollup_{s} LEFT JOIN rfeat_{s} USING (customer_id) JOIN labels_{s} USING (customer_id)""", f"rollup_{s}", f"rfeat_{s}", f"labels_{s}")
 
-LEDGER_OUT = "invoice, stock_code, description, quantity, invoice_date, CAST(price AS DOUBLE) AS price, customer_id, country"
+LEDGER_OUT = ("invoice, stock_code, description, CAST(quantity AS DOUBLE) AS quantity, CAST(invoice_date AS VARCHAR) AS invoice_date, "
+              "CAST(price AS DOUBLE) AS price, CAST(customer_id AS DOUBLE) AS customer_id, country")
 LINES_OUT = LEDGER_OUT + ", CAST(line_total AS DOUBLE) AS line_total"
 FEATURES_OUT = ", ".join(
     f"round({c}, 6) AS {c}" if c in ("monetary", "avg_order_value", "avg_basket_value", "avg_days_between_orders", "spend_last_90d", "returned_value") else c
@@ -93,8 +94,8 @@ FEATURES_OUT = ", ".join(
 sql("ledger_read", f"SELECT {LEDGER_OUT} FROM ledger", "ledger")
 sql("ledger_union", "SELECT country, CAST(year(invoice_date) AS INTEGER) AS year, count(*) AS n_rows, CAST(sum(quantity) AS BIGINT) AS units FROM ledger GROUP BY 1, 2", "ledger")
 sql("ledger_normalise", """
-  SELECT invoice, stock_code, description, CASE WHEN quantity % 11 <> 0 THEN quantity END AS quantity, invoice_date,
-         CASE WHEN quantity % 13 <> 0 THEN CAST(price AS DOUBLE) END AS price, CASE WHEN customer_id % 7 <> 0 THEN customer_id END AS customer_id, country
+  SELECT invoice, stock_code, description, CASE WHEN quantity % 11 <> 0 THEN CAST(quantity AS DOUBLE) END AS quantity, CAST(invoice_date AS VARCHAR) AS invoice_date,
+         CASE WHEN quantity % 13 <> 0 THEN CAST(price AS DOUBLE) END AS price, CASE WHEN customer_id % 7 <> 0 THEN CAST(customer_id AS DOUBLE) END AS customer_id, country
   FROM ledger""", "ledger")
 sql("ledger_cached", """SELECT invoice, count(*) AS n_lines, CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(price) AS DOUBLE) AS price_sum
   FROM ledger GROUP BY 1""", "ledger")
@@ -128,16 +129,16 @@ sql("cleaning_report", """
   FROM (SELECT *, CAST((SELECT count(*) FROM ledger) - sum(removed) OVER (ORDER BY step_no) AS BIGINT) AS rows_after FROM removals)""", "removals", "ledger")
 sql("return_features", "SELECT customer_id, n_returns, round(returned_value, 6) AS returned_value FROM rfeat_test", "rfeat_test")
 sql("clean_summary", """SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers, count(DISTINCT stock_code) AS n_products,
-  min(invoice_date) AS first_date, max(invoice_date) AS last_date FROM purchases""", "purchases")
+  CAST(min(invoice_date) AS VARCHAR) AS first_date, CAST(max(invoice_date) AS VARCHAR) AS last_date FROM purchases""", "purchases")
 
 # --- temporal ---
-sql("cutoffs", "SELECT last_date, train_cutoff, test_cutoff FROM cuts", "cuts")
+sql("cutoffs", "SELECT CAST(last_date AS VARCHAR) AS last_date, CAST(train_cutoff AS VARCHAR) AS train_cutoff, CAST(test_cutoff AS VARCHAR) AS test_cutoff FROM cuts", "cuts")
 sql("snapshot_observation", f"SELECT {LINES_OUT} FROM obs_train", "obs_train")
 sql("snapshot_future", f"SELECT {LINES_OUT} FROM fut_train", "fut_train")
 sql("eligible_customers", "SELECT DISTINCT customer_id FROM obs_train", "obs_train")
 sql("snapshot_labels", "SELECT customer_id, repurchased, round(future_spend, 6) AS future_spend FROM labels_train", "labels_train")
 for s in ("train", "test"):
-    cte(f"summary_{s}", f"""SELECT '{s}' AS snapshot, (SELECT {s}_cutoff FROM cuts) AS cutoff, (SELECT count(*) FROM obs_{s}) AS n_rows,
+    cte(f"summary_{s}", f"""SELECT '{s}' AS snapshot, CAST((SELECT {s}_cutoff FROM cuts) AS VARCHAR) AS cutoff, (SELECT count(*) FROM obs_{s}) AS n_rows,
       count(*) AS n_customers, round(avg(repurchased), 6) AS repurchase_rate FROM labels_{s}""", "cuts", f"obs_{s}", f"labels_{s}")
 sql("snapshot_summary", "SELECT * FROM summary_train", "summary_train")
 sql("train_test_snapshots", """SELECT 'train' AS snapshot, customer_id, repurchased, round(future_spend, 6) AS future_spend FROM labels_train
@@ -160,7 +161,7 @@ sql("base_rate_shift", """SELECT snapshot, n_customers, repurchase_rate FROM sum
   UNION ALL SELECT snapshot, n_customers, repurchase_rate FROM summary_test""", "summary_train", "summary_test")
 
 # --- features ---
-sql("feat_core", "SELECT customer_id, frequency, round(monetary, 6) AS monetary, n_products, n_items, first_purchase, last_purchase FROM rollup_train", "rollup_train")
+sql("feat_core", "SELECT customer_id, frequency, round(monetary, 6) AS monetary, n_products, n_items, CAST(first_purchase AS VARCHAR) AS first_purchase, CAST(last_purchase AS VARCHAR) AS last_purchase FROM rollup_train", "rollup_train")
 sql("feat_recency_tenure", "SELECT customer_id, recency, tenure FROM rollup_train", "rollup_train")
 sql("feat_ratios", "SELECT customer_id, round(avg_order_value, 6) AS avg_order_value, round(avg_basket_value, 6) AS avg_basket_value FROM feat_train", "feat_train")
 sql("feat_gap", "SELECT customer_id, round(avg_days_between_orders, 6) AS avg_days_between_orders FROM feat_train", "feat_train")
@@ -246,8 +247,8 @@ cte("assigned", f"""
   SELECT customer_id, segment_id, segment_name, distance_to_centroid, {GUIDE} AS interpretation, recency, frequency, monetary FROM (
     SELECT customer_id, CAST(segment AS INTEGER) AS segment_id, {NAME_LIST}[CAST(segment AS INTEGER) + 1] AS segment_name, round(distance, 4) AS distance_to_centroid,
            CAST(recency AS DOUBLE) AS recency, CAST(frequency AS DOUBLE) AS frequency, round(monetary, 2) AS monetary FROM seg_test)""", "seg_test")
-sql("segment_assign", "SELECT * FROM assigned", "assigned")
-sql("segment_known", "SELECT c_custkey AS customer_id, a.* EXCLUDE (customer_id), a.segment_id IS NOT NULL AS found FROM customer LEFT JOIN assigned a ON a.customer_id = c_custkey", "assigned")
+sql("segment_assign", "SELECT * REPLACE (CAST(segment_id AS DOUBLE) AS segment_id) FROM assigned", "assigned")
+sql("segment_known", "SELECT c_custkey AS customer_id, a.* EXCLUDE (customer_id) REPLACE (CAST(a.segment_id AS DOUBLE) AS segment_id), a.segment_id IS NOT NULL AS found FROM customer LEFT JOIN assigned a ON a.customer_id = c_custkey", "assigned")
 cte("requests", """
   SELECT customer_id, CASE WHEN customer_id % 10 = 1 THEN NULL WHEN customer_id % 10 = 2 THEN -5.0 ELSE CAST(recency AS DOUBLE) END AS recency,
          CASE WHEN customer_id % 10 = 3 THEN 0.0 ELSE CAST(frequency AS DOUBLE) END AS frequency,
@@ -258,7 +259,7 @@ REASON = """CASE WHEN recency IS NULL THEN 'recency is not a number' WHEN freque
 sql("rfm_validate", f"SELECT *, {REASON} AS rejected_because FROM requests", "requests")
 rdist = [" + ".join(f"((ln(1 + {c}) - m_{c}) / s_{c} - ({v})) ** 2" for c, v in zip(RFM_COLUMNS, cen)) for cen in FIXED_CENTROIDS]
 sql("segment_requests", f"""
-  SELECT customer_id, recency, frequency, monetary, rejected_because, CAST(sid AS INTEGER) AS segment_id, {NAME_LIST}[sid + 1] AS segment_name,
+  SELECT customer_id, recency, frequency, monetary, rejected_because, CAST(sid AS DOUBLE) AS segment_id, {NAME_LIST}[sid + 1] AS segment_name,
          distance_to_centroid, CASE WHEN sid IS NOT NULL THEN {GUIDE.replace("segment_name", NAME_LIST + "[sid + 1]")} END AS interpretation
   FROM (SELECT *, CASE WHEN rejected_because IS NULL THEN CAST(list_position(d, list_min(d)) - 1 AS INTEGER) END AS sid,
                CASE WHEN rejected_because IS NULL THEN round(sqrt(list_min(d)), 4) END AS distance_to_centroid
