@@ -17,10 +17,14 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """Scale to length one; a zero vector stays zero."""
+    """Scale to length one; a zero vector stays zero.
+
+    The length is bound once as a lambda variable: written inside the element
+    lambda it would be recomputed for every element.
+    """
     norm = F.sqrt(dot(v, v))
     safe = F.when(norm == 0, F.lit(1.0)).otherwise(norm)
-    return F.transform(v, lambda x: x.cast("double") / safe)
+    return F.get(F.transform(F.array(safe), lambda n: F.transform(v, lambda x: x.cast("double") / n)), F.lit(0))
 
 
 def weighted_vector_sum(rows: DataFrame, key: str, weight: str, vector: str, dim: int, out: str = "vector") -> DataFrame:
@@ -57,14 +61,14 @@ def top_n_by_similarity(left: DataFrame, right: DataFrame, left_id: str, right_i
             if exclude_self:
                 sims[ids[lo:lo + 512][:, None] == item[None, :]] = -np.inf
             keep = min(n, sims.shape[1])
-            # stable sort over id-ordered columns breaks ties by id
-            order = np.argsort(-sims, axis=1, kind="stable")[:, :keep]
-            best = np.take_along_axis(sims, order, axis=1)
-            parts.append(pd.DataFrame({
-                left_id: np.repeat(ids[lo:lo + 512], keep),
-                other: item[order.ravel()],
-                "similarity": best.ravel(),
-            }))
+            floor = np.partition(sims, sims.shape[1] - keep, axis=1)[:, sims.shape[1] - keep]
+            # everything at or above the n-th value, ties included, then cut by (value, id)
+            r, c = np.nonzero(sims >= floor[:, None])
+            order = np.lexsort((c, -sims[r, c], r))
+            r, c = r[order], c[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+            r, c = r[place < keep], c[place < keep]
+            parts.append(pd.DataFrame({left_id: ids[lo + r], other: item[c], "similarity": sims[r, c]}))
         out = pd.concat(parts, ignore_index=True)
         return out[np.isfinite(out["similarity"])]
 

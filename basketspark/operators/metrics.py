@@ -139,19 +139,25 @@ def rank_metrics(recommended: DataFrame, truth: DataFrame, k: int = 12) -> DataF
     item_idx). Starts from truth, so a customer without a list scores zero.
     Precision divides by k, MAP by min(truth, k).
     """
-    listed = recommended.filter(F.col("rank") <= k).select("customer_id", "item_idx", "rank")
-    hits = listed.join(truth, ["customer_id", "item_idx"])
-    so_far = Window.partitionBy("customer_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)  # at most k rows
-    per_hit = hits.withColumn("nth", F.row_number().over(so_far))
-    scored = per_hit.groupBy("customer_id").agg(
+    return rank_metrics_by(recommended.withColumn("contender", F.lit("only")), truth, ["only"], k).drop("contender")
+
+
+def rank_metrics_by(recommended: DataFrame, truth: DataFrame, contenders: list[str], k: int = 12) -> DataFrame:
+    """``rank_metrics`` for several tagged lists in one pass: truth is read once for all contenders."""
+    key = ["contender", "customer_id"]
+    listed = recommended.filter(F.col("rank") <= k).select(*key, "item_idx", "rank")
+    hits = listed.join(truth.select("customer_id", "item_idx"), ["customer_id", "item_idx"])
+    so_far = Window.partitionBy(*key).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)  # at most k rows
+    scored = hits.withColumn("nth", F.row_number().over(so_far)).groupBy(*key).agg(
         F.count(F.lit(1)).alias("hits"), F.sum(F.col("nth") / F.col("rank")).alias("ap"), F.sum(1 / F.log2(F.col("rank") + 1)).alias("dcg"),
     )
-    sizes = truth.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_truth"))
+    sizes = truth.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_truth")).withColumn(
+        "contender", F.explode(F.array(*[F.lit(c) for c in contenders]))
+    )
     best = F.least(F.col("n_truth"), F.lit(k)).cast("int")
     ideal = F.aggregate(F.sequence(F.lit(1), best), F.lit(0.0), lambda s, i: s + 1 / F.log2(i + F.lit(1)))
-    joined = sizes.join(scored, "customer_id", "left")
     got = F.coalesce(F.col("hits"), F.lit(0))
-    return joined.agg(
+    return sizes.join(scored, key, "left").groupBy("contender").agg(
         F.avg(got / F.col("n_truth")).alias("recall"), F.avg(got / F.lit(k)).alias("precision"),
         F.avg(F.coalesce(F.col("ap") / best, F.lit(0.0))).alias("map"),
         F.avg(F.coalesce(F.col("dcg") / ideal, F.lit(0.0))).alias("ndcg"),

@@ -22,6 +22,8 @@ TOP_K = 12
 HALF_LIFE_DAYS = 90.0
 WEIGHT_DECIMALS = 9
 VECTOR_BROADCAST_ROWS = 50_000
+PAIR_BROADCAST_ROWS = 2_000_000
+OWNED_ROWS_PER_TASK = 20_000
 
 # Candidate feature order (position-significant).
 CANDIDATE_FEATURES = [
@@ -85,7 +87,7 @@ def corpus_stats(observation: DataFrame, items: DataFrame, top: int = 100) -> Da
 
 
 def item2vec(basket_rows: DataFrame, items: DataFrame, dim: int = 64, min_count: int = 5, epochs: int = 10, seed: int = 42,
-             baskets_per_partition: int = 250_000) -> DataFrame:
+             baskets_per_partition: int = 20_000) -> DataFrame:
     """Skip-gram vectors over baskets: (item_idx, stock_code, vector), unit length.
 
     The window spans a whole basket. One training partition per
@@ -219,48 +221,61 @@ def top_items(popular: DataFrame, n: int) -> list[int]:
 def build_candidates(weights: DataFrame, retrieved: DataFrame, popular: DataFrame, n_popular: int = N_POPULAR) -> DataFrame:
     """Retrieved, owned and popular items per customer, once each, with source flags and owned weight."""
     none, no = F.lit(None).cast("double"), F.lit(0)
-    owned = weights.select("customer_id", "item_idx", no.alias("r"), F.lit(1).alias("o"), no.alias("t"), "weight", "lines_bought")
+    owned = weights.select("customer_id", "item_idx", no.alias("r"), F.lit(1).alias("o"), no.alias("t"), "weight", "lines_bought", none.alias("similarity"))
     found = retrieved.select("customer_id", "item_idx", F.lit(1).alias("r"), no.alias("o"), no.alias("t"), none.alias("weight"),
-                             F.lit(None).cast("bigint").alias("lines_bought"))
+                             F.lit(None).cast("bigint").alias("lines_bought"), "similarity")
     best = F.array(*[F.lit(i) for i in top_items(popular, n_popular)])
     everyone = weights.select("customer_id").distinct().select(
         "customer_id", F.explode(best).alias("item_idx"), no.alias("r"), no.alias("o"), F.lit(1).alias("t"), none.alias("weight"),
-        F.lit(None).cast("bigint").alias("lines_bought"),
+        F.lit(None).cast("bigint").alias("lines_bought"), none.alias("similarity"),
     )
     return owned.unionByName(found).unionByName(everyone).groupBy("customer_id", "item_idx").agg(
         F.max("r").alias("from_retrieval"), F.max("o").alias("from_history"), F.max("t").alias("from_popular"),
         F.coalesce(F.max("weight"), F.lit(0.0)).alias("weight_before"), F.coalesce(F.max("lines_bought"), F.lit(0)).alias("lines_bought_before"),
+        F.max("similarity").alias("retrieval_similarity"),
     )
 
 
 def candidate_similarity(candidates: DataFrame, customers: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Adds emb_similarity and emb_rank (ties by item)."""
-    rows = lookup_join(candidates, vectors.select("item_idx", F.col("vector").alias("_iv")), "item_idx", max_broadcast_rows=VECTOR_BROADCAST_ROWS)
-    rows = rows.join(customers.select("customer_id", F.col("vector").alias("_cv")), "customer_id")
+    """Adds emb_similarity and emb_rank (ties by item).
+
+    Retrieved candidates bring their similarity along; only the rest carry two
+    vectors through a join.
+    """
+    known = candidates.filter(F.col("retrieval_similarity").isNotNull()).withColumn("emb_similarity", F.col("retrieval_similarity"))
+    rest = candidates.filter(F.col("retrieval_similarity").isNull())
+    rest = lookup_join(rest, vectors.select("item_idx", F.col("vector").alias("_iv")), "item_idx", max_broadcast_rows=VECTOR_BROADCAST_ROWS)
+    rest = rest.join(customers.select("customer_id", F.col("vector").alias("_cv")), "customer_id").withColumn(
+        "emb_similarity", F.round(dot(F.col("_cv"), F.col("_iv")), SIM_DECIMALS)).drop("_cv", "_iv")
     order = Window.partitionBy("customer_id").orderBy(F.desc("emb_similarity"), F.asc("item_idx"))
-    return (
-        rows.withColumn("emb_similarity", F.round(dot(F.col("_cv"), F.col("_iv")), SIM_DECIMALS)).drop("_cv", "_iv")
-        .withColumn("emb_rank", F.row_number().over(order))
-    )
+    return known.unionByName(rest).drop("retrieval_similarity").withColumn("emb_rank", F.row_number().over(order))
 
 
 def owned_copurchase(weights: DataFrame, pairs: DataFrame) -> DataFrame:
     """Per (customer, item): co-occurrence with everything the customer owns, summed.
 
-    The join key is the owned item; a bestseller owned by a large share of
-    customers is split over salts, and sums combine before the shuffle.
+    The product is the largest intermediate here. While the pair table is
+    small (counted) it is broadcast to rows already hashed by customer, and
+    the sums need no shuffle at all. Beyond that it is a join on the owned
+    item, split over salts where an item is owned by many customers, with sums
+    combined before the shuffle.
     """
     owned = weights.select("customer_id", F.col("item_idx").alias("item_i"))
-    return salted_join(owned, mirrored(pairs), "item_i").groupBy("customer_id", F.col("item_j").alias("item_idx")).agg(
-        F.sum("n_baskets").alias("co_score")
-    )
+    if pairs.count() <= PAIR_BROADCAST_ROWS:
+        # An explicit count: the rows are few before the join and many after it,
+        # so adaptive coalescing on the input size would leave too few tasks.
+        tasks = max(weights.sparkSession.sparkContext.defaultParallelism, -(-weights.count() // OWNED_ROWS_PER_TASK))
+        joined = owned.repartition(tasks, "customer_id").join(F.broadcast(mirrored(pairs)), "item_i")
+    else:
+        joined = salted_join(owned, mirrored(pairs), "item_i")
+    return joined.groupBy("customer_id", F.col("item_j").alias("item_idx")).agg(F.sum("n_baskets").alias("co_score"))
 
 
-def candidate_copurchase(candidates: DataFrame, weights: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds copurchase = log1p(score) and its rank within the customer."""
+def candidate_copurchase(candidates: DataFrame, scores: DataFrame) -> DataFrame:
+    """Adds copurchase = log1p(score) and its rank within the customer. ``scores``: owned_copurchase."""
     order = Window.partitionBy("customer_id").orderBy(F.desc("_co"), F.asc("item_idx"))
     return (
-        candidates.join(owned_copurchase(weights, pairs), ["customer_id", "item_idx"], "left")
+        candidates.join(scores, ["customer_id", "item_idx"], "left")
         .withColumn("_co", F.coalesce("co_score", F.lit(0)))
         .withColumn("copurchase", F.log1p(F.col("_co").cast("double")))
         .withColumn("copurchase_rank", F.row_number().over(order)).drop("_co", "co_score")
@@ -297,11 +312,11 @@ def candidate_context(candidates: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def candidate_features(candidates: DataFrame, customers: DataFrame, vectors: DataFrame, weights: DataFrame, stats: DataFrame,
-                       pairs: DataFrame, features: DataFrame) -> DataFrame:
+                       scores: DataFrame, features: DataFrame) -> DataFrame:
     """All thirteen ranking signals per (customer, item), in fixed order."""
     rows = candidate_item_facts(candidate_history(candidates), stats)
     rows = candidate_similarity(rows, customers, vectors)
-    rows = candidate_copurchase(rows, weights, pairs)
+    rows = candidate_copurchase(rows, scores)
     rows = candidate_context(candidate_price_fit(rows, weights, stats), features)
     return rows.select("customer_id", "item_idx", *CANDIDATE_FEATURES)
 
@@ -353,17 +368,16 @@ def baseline_repeat(weights: DataFrame, k: int = TOP_K) -> DataFrame:
     return top_k(weights, k, "weight")
 
 
-def baseline_copurchase(weights: DataFrame, pairs: DataFrame, n_items: int, k: int = TOP_K, exclude_own: bool = False) -> DataFrame:
-    """Items most often bought together with what the customer owns.
+def baseline_copurchase(weights: DataFrame, scores: DataFrame, n_items: int, k: int = TOP_K, exclude_own: bool = False) -> DataFrame:
+    """Items most often bought together with what the customer owns. ``scores``: owned_copurchase.
 
     Short lists are filled with the lowest-numbered items that have no score
     (and are not owned, when own items are excluded).
     """
     owned = owned_pairs(weights)
-    scores = owned_copurchase(weights, pairs)
     if exclude_own:
         scores = scores.join(owned, ["customer_id", "item_idx"], "left_anti")
-    listed = top_k(scores, k, "co_score")
+    listed = cut_lineage(top_k(scores, k, "co_score"))  # k rows per customer, read three times below
     per = owned.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_owned"))
     short = per.join(listed.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_listed")), "customer_id", "left").withColumn(
         "n_listed", F.coalesce("n_listed", F.lit(0))

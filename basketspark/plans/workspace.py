@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,6 +192,10 @@ class Workspace:
     def copurchase(self) -> DataFrame:
         return self.table("copurchase", lambda: recommend.copurchase(self.train.observation, self.items()))
 
+    def co_scores(self, name: str) -> DataFrame:
+        """Co-purchase score of every item reachable from what a customer owns."""
+        return self.table(f"co_scores_{name}", lambda: recommend.owned_copurchase(self.weights(name), self.copurchase()))
+
     def item_stats(self, name: str) -> DataFrame:
         return self.table(f"item_stats_{name}", lambda: recommend.item_stats(self.snapshots[name].observation, self.items()))
 
@@ -215,7 +219,7 @@ class Workspace:
         """Candidates with all ranking signals and their label."""
         return self.table(f"featured_{name}_{space}", lambda: recommend.label_candidates(recommend.candidate_features(
             self.candidates(name, space), self.customer_vectors(name, space), self.vectors(space), self.weights(name),
-            self.item_stats(name), self.copurchase(), self.features(name)), self.truth(name)))
+            self.item_stats(name), self.co_scores(name), self.features(name)), self.truth(name)))
 
     def pointwise(self):
         return self.model("pointwise", lambda: recommend.fit_pointwise(
@@ -238,7 +242,7 @@ class Workspace:
         w = self.weights("test")
         out = {
             "most popular": recommend.baseline_popular(w.select("customer_id").distinct(), self.popular("test")),
-            "co-purchase": recommend.baseline_copurchase(w, self.copurchase(), self.n_items()),
+            "co-purchase": recommend.baseline_copurchase(w, self.co_scores("test"), self.n_items()),
             "repeat what they bought": recommend.baseline_repeat(w),
             "stage 1 only": recommend.baseline_stage1(self.retrieved("test", space)),
         }
@@ -255,7 +259,7 @@ class Workspace:
         everyone = w.select("customer_id").distinct()
         out = {
             "most popular": recommend.recs_new_only(recommend.baseline_popular(everyone, self.popular("test"), recommend.N_CANDIDATES), owned),
-            "co-purchase": recommend.baseline_copurchase(w, self.copurchase(), self.n_items(), exclude_own=True),
+            "co-purchase": recommend.baseline_copurchase(w, self.co_scores("test"), self.n_items(), exclude_own=True),
             "repeat what they bought": recommend.baseline_repeat(w).filter(F.lit(False)),
             "stage 1 only": recommend.recs_new_only(self.retrieved("test", space).select("customer_id", "item_idx", "rank"), owned),
         }
@@ -271,9 +275,9 @@ class Workspace:
         fresh = recommend.truth_new(truth, recommend.owned_pairs(self.weights("test")))
         out = None
         for scope, lists, answer in (("all items", self.lists(space, with_models), truth), ("new items", self.lists_new(space, with_models), fresh)):
-            for method, listed in lists.items():
-                row = metrics.rank_metrics(listed, answer).select(F.lit(scope).alias("scope"), F.lit(method).alias("contender"), "*")
-                out = row if out is None else out.unionByName(row)
+            tagged = reduce(DataFrame.unionByName, [df.select(F.lit(m).alias("contender"), "customer_id", "item_idx", "rank") for m, df in lists.items()])
+            rows = metrics.rank_metrics_by(tagged, answer, list(lists)).select(F.lit(scope).alias("scope"), "*")
+            out = rows if out is None else out.unionByName(rows)
         return out
 
     def reco_table(self) -> DataFrame:

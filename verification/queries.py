@@ -819,6 +819,11 @@ def _(ws, spark, folder):
     return recommend.copurchase(ws.train.observation, ws.items())
 
 
+@query("owned_copurchase")
+def _(ws, spark, folder):
+    return recommend.owned_copurchase(ws.weights("test"), ws.copurchase())
+
+
 @query("candidates")
 def _(ws, spark, folder):
     return recommend.build_candidates(ws.weights("test"), ws.retrieved("test", EXT), ws.popular("test")).select(
@@ -851,13 +856,13 @@ def _(ws, spark, folder):
 
 @query("cand_copurchase")
 def _(ws, spark, folder):
-    return rounded(recommend.candidate_copurchase(ws.candidates("test", EXT), ws.weights("test"), ws.copurchase()).select(
+    return rounded(recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test")).select(
         "customer_id", "item_idx", "copurchase"))
 
 
 @query("cand_copurchase_rank")
 def _(ws, spark, folder):
-    return recommend.candidate_copurchase(ws.candidates("test", EXT), ws.weights("test"), ws.copurchase()).select(
+    return recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test")).select(
         "customer_id", "item_idx", "copurchase_rank")
 
 
@@ -876,7 +881,7 @@ def _(ws, spark, folder):
 def _(ws, spark, folder):
     return rounded(recommend.candidate_features(
         ws.candidates("test", EXT), ws.customer_vectors("test", EXT), ws.vectors(EXT), ws.weights("test"), ws.item_stats("test"),
-        ws.copurchase(), ws.features("test")), 9)
+        ws.co_scores("test"), ws.features("test")), 9)
 
 
 @query("candidate_labels")
@@ -963,7 +968,7 @@ def _(ws, spark, folder):
 
 @query("baseline_copurchase")
 def _(ws, spark, folder):
-    parts = [recommend.baseline_copurchase(ws.weights("test"), ws.copurchase(), ws.n_items(), exclude_own=own).withColumn("excludes_own", F.lit(own))
+    parts = [recommend.baseline_copurchase(ws.weights("test"), ws.co_scores("test"), ws.n_items(), exclude_own=own).withColumn("excludes_own", F.lit(own))
              for own in (False, True)]
     return parts[0].unionByName(parts[1])
 
