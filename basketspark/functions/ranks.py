@@ -3,7 +3,8 @@
 An un-partitioned window sends every row to one task. Here rows are range
 partitioned on a total order, each range is summed on its own, and the range
 totals (one row per partition) become offsets. The range-partitioned frame is
-checkpointed, so both passes read one fixed layout.
+written with its partition number as a column, so both passes read one fixed
+layout.
 """
 
 from __future__ import annotations

@@ -193,6 +193,9 @@ def top_drivers(contrib: DataFrame, features: DataFrame, columns: list[str], n:
     )
 
 
+ROUNDS_PER_CUT = 5
+
+
 def fit_listwise(df: DataFrame, columns: list[str], trees: int = 500, depth: int = 6, step: float = 0.05, seed: int = 42,
                  group: str = "customer_id", patience: int = 30) -> list:
     """Boosted regression trees on a listwise ranking objective, one list per group.
@@ -220,9 +223,9 @@ def fit_listwise(df: DataFrame, columns: list[str], trees: int = 500, depth: int
             featuresCol="features", labelCol="label", maxDepth=depth, minInstancesPerNode=5, seed=seed + i
         ).fit(graded.filter(~F.col("is_val")).select("features", (F.col("label") * F.lit(100.0)).alias("label")))
         model.append((tree, step))
-        state = cut_lineage(
-            tree.transform(state).withColumn("score", F.col("score") + F.lit(step) * F.col("prediction")).drop("prediction")
-        )
+        state = tree.transform(state).withColumn("score", F.col("score") + F.lit(step) * F.col("prediction")).drop("prediction")
+        if (i + 1) % ROUNDS_PER_CUT == 0:  # between cuts a read re-evaluates at most this many trees
+            state = cut_lineage(state)
         check = state.filter("is_val")
         z = check.groupBy(group).agg(F.log(F.sum(F.exp("score"))).alias("lz"))
         loss = check.filter("y > 0").join(z, group).agg(F.avg((F.col("lz") - F.col("score")) / F.col("n_pos"))).first()[0]

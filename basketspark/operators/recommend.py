@@ -184,7 +184,8 @@ def copurchase(observation: DataFrame, items: DataFrame, cell: int = 512) -> Dat
     different tasks while an ordinary basket (one group) is a plain self-join.
     Counts combine on the map side before the shuffle on the pair.
     """
-    pairs = with_item_index(observation.select("invoice", "stock_code"), items).select("invoice", "item_idx").distinct()
+    # Read three times below (sizes and both join sides), so written once.
+    pairs = cut_lineage(with_item_index(observation.select("invoice", "stock_code"), items).select("invoice", "item_idx").distinct())
     sizes = pairs.groupBy("invoice").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > cell).select("invoice", F.ceil(F.col("n") / cell).cast("int").alias("groups"))
     if large.limit(1).count() == 0:

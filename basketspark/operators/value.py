@@ -79,7 +79,7 @@ def repeat_order_value(observation: DataFrame) -> DataFrame:
 
 # --- maximum likelihood: batches of parameter vectors per pass --------------------------------
 
-def _newton(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, max_iter: int = 40, tol: float = 1e-10) -> np.ndarray:
+def _newton(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, max_iter: int = 40, tol: float = 1e-8) -> np.ndarray:
     """Damped Newton on a function evaluated many points at a time (one Spark pass per batch)."""
     theta, h, dim = np.array(start, float), 1e-3, len(start)
     eye = np.eye(dim) * h
@@ -98,12 +98,14 @@ def _newton(objective: Callable[[np.ndarray], np.ndarray], start: np.ndarray, ma
         steps = []
         for damping in (0.0, 1e-3, 1e-2, 1e-1, 1.0, 10.0):
             step = -vectors @ ((vectors.T @ grad) / (values + damping))
-            steps.append(step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12)))
-            steps.append(steps[-1] * 0.3)
+            # long multiples cross the flat valleys of a parameter that tends to zero
+            for stretch in (0.3, 1.0, 4.0):
+                move = step * stretch
+                steps.append(move * min(1.0, 4.0 / max(np.abs(move).max(), 1e-12)))
         trial = objective(theta + np.array(steps))
         trial = np.where(np.isfinite(trial), trial, np.inf)
         best = int(np.argmin(trial))
-        if not trial[best] < f[0] - tol:
+        if not trial[best] < f[0] - tol * max(1.0, abs(f[0])):
             break
         theta = theta + steps[best]
     return theta

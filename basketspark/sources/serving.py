@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketspark.functions.ranks import global_row_number
 from basketspark.operators.features import FEATURE_COLUMNS
 from basketspark.operators.split import Snapshot
 
@@ -54,12 +55,21 @@ def write_serving(table: DataFrame, path: str) -> DataFrame:
     return table.sparkSession.read.parquet(path)
 
 
+DEEP_OFFSET = 100_000
+
+
 def customer_page(features: DataFrame, limit: int = 20, offset: int = 0) -> DataFrame:
     """One page of customers by id, at most 100 rows, with the total on every row.
 
-    ``offset + limit`` is a top-k sort, so no global sort of the table is needed.
+    A shallow page is a top-k sort. A deep one would make every task keep
+    ``offset`` rows, so it is cut by global row number instead.
     """
+    limit = min(limit, 100)
     total = features.agg(F.count(F.lit(1))).scalar()
-    return features.orderBy("customer_id").offset(offset).limit(min(limit, 100)).select(
-        "customer_id", "recency", "frequency", F.round("monetary", 2).alias("monetary"), total.alias("total")
-    )
+    columns = ["customer_id", "recency", "frequency", F.round("monetary", 2).alias("monetary")]
+    if offset > DEEP_OFFSET:
+        placed = global_row_number(features.select(*columns), [F.col("customer_id")])
+        page = placed.filter((F.col("rn") > offset) & (F.col("rn") <= offset + limit)).drop("rn", "rn_total")
+    else:
+        page = features.select(*columns).orderBy("customer_id").offset(offset).limit(limit)
+    return page.withColumn("total", total)

@@ -301,7 +301,7 @@ sql("holdout_split", f"""SELECT repurchased, {hashed(100)} < 20 AS is_val, count
   FROM feat_train GROUP BY 1, 2""", "feat_train")
 sql("calibration_halves", f"SELECT customer_id, {hashed(2)} = 0 AS is_reference FROM feat_test", "feat_test")
 EFFECTS = " UNION ALL ".join(
-    f"""SELECT customer_id, {i} AS position, '{c}' AS feature, round(CAST({c} AS DOUBLE), 2) AS value,
+    f"""SELECT customer_id, {i} AS position, '{c}' AS feature, CAST(round(CAST({c} AS DECIMAL(18,6)), 2) AS DOUBLE) AS value,
         (coalesce(CAST({c} AS DOUBLE), CAST({m} AS DOUBLE)) - CAST({m} AS DOUBLE)) / CAST({s} AS DOUBLE) AS effect FROM feat_test"""
     for i, (c, m, s) in enumerate(zip(FEATURE_COLUMNS, EFFECT_CENTRES, EFFECT_SCALES)))
 cte("effects", EFFECTS, "feat_test")
@@ -414,7 +414,7 @@ cte("cand_co", """
   FROM cand LEFT JOIN co_score USING (customer_id, item_idx)""", "cand", "co_score")
 cte("cust_price", "SELECT customer_id, greatest(sum(weight * price) / greatest(sum(weight), 1e-9), 1e-9) AS avg_price FROM w_test JOIN stats_test USING (item_idx) GROUP BY 1", "w_test", "stats_test")
 
-sql("baskets", "SELECT invoice, 0 AS part, 1 AS n_parts, string_agg(stock_code, ' ' ORDER BY stock_code) AS items FROM obs_train GROUP BY 1", "obs_train")
+sql("baskets", "SELECT invoice, stock_code, count(*) AS times_in_basket FROM obs_train GROUP BY 1, 2", "obs_train")
 sql("corpus_stats", """
   SELECT count(*) AS n_baskets, (SELECT count(DISTINCT stock_code) FROM obs_train) AS n_products, (SELECT count(*) FROM items) AS n_with_vector, round(avg(n), 6) AS mean_size,
          max(n) AS max_size, round(avg(CAST(n >= 2 AS INTEGER)), 6) AS share_two_plus,
