@@ -199,8 +199,8 @@ cte("profile", """
   SELECT CAST(segment AS INTEGER) AS segment, count(*) AS customers, CAST(median(recency) AS DOUBLE) AS median_recency, CAST(median(frequency) AS DOUBLE) AS median_frequency,
          median(monetary) AS median_monetary, sum(monetary) AS total_revenue FROM seg_train GROUP BY 1""", "seg_train")
 sql("segment_profile", """
-  SELECT segment, customers, round(median_recency, 6) AS median_recency, round(median_frequency, 6) AS median_frequency,
-         round(median_monetary, 6) AS median_monetary, round(total_revenue, 6) AS total_revenue,
+  SELECT segment, customers, round(median_recency, 2) AS median_recency, round(median_frequency, 2) AS median_frequency,
+         round(median_monetary, 2) AS median_monetary, round(total_revenue, 2) AS total_revenue,
          round_even(100.0 * customers / sum(customers) OVER (), 1) AS pct_customers, round_even(100 * total_revenue / sum(total_revenue) OVER (), 1) AS pct_revenue
   FROM profile""", "profile")
 
@@ -364,7 +364,7 @@ sql("value_decile_table", f"""
          round_even(100 * actual_total / sum(actual_total) OVER (), 1) AS share_of_revenue
   FROM (SELECT decile, count(*) AS customers, avg(p) AS predicted, avg(y) AS actual, sum(y) AS actual_total
         FROM (SELECT y, p, CAST({bucket("row_number() OVER (ORDER BY p DESC, customer_id)", "count(*) OVER ()", 10)} AS INTEGER) AS decile FROM valued) GROUP BY 1)""", "valued")
-sql("value_decile", """SELECT customer_id, round(p, 6) AS p, CAST(least(10, greatest(1, 1 + ((count(*) OVER () - rank() OVER (ORDER BY p)) * 10) // count(*) OVER ())) AS INTEGER) AS value_decile
+sql("value_decile", """SELECT customer_id, CAST(least(10, greatest(1, 1 + ((count(*) OVER () - rank() OVER (ORDER BY p)) * 10) // count(*) OVER ())) AS INTEGER) AS value_decile
   FROM valued""", "valued")
 sql("independence_check", f"""SELECT round(s, 6) AS spearman, abs(s) < 0.3 AS is_small FROM (SELECT corr(a, b) AS s FROM (
   SELECT {average_rank("frequency")} AS a, {average_rank("avg_order_value")} AS b FROM feat_train WHERE frequency > 1))""", "feat_train")

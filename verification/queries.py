@@ -412,7 +412,7 @@ def _(ws, spark, folder):
 
 @query("segment_profile")
 def _(ws, spark, folder):
-    return rounded(segment.segment_profile(ws.features("train"), fixed_labels(ws)))
+    return rounded(segment.segment_profile(ws.features("train"), fixed_labels(ws)), 2)
 
 
 @query("segment_names")
@@ -733,7 +733,7 @@ def _(ws, spark, folder):
 
 @query("value_decile")
 def _(ws, spark, folder):
-    return rounded(value.value_decile(fixed_value(ws).select("customer_id", "p")))
+    return value.value_decile(fixed_value(ws).select("customer_id", "p")).select("customer_id", "value_decile")
 
 
 @query("value_scores")
