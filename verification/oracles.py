@@ -430,7 +430,8 @@ sql("retrieve_top_n", "SELECT customer_id, item_idx, similarity, CAST(rank AS IN
 sql("item_stats", "SELECT item_idx, stock_code, units, buyers, baskets, round(price, 6) AS price, round(log_units, 6) AS log_units, round(log_buyers, 6) AS log_buyers FROM stats_test", "stats_test")
 sql("popularity_order", "SELECT item_idx, rank FROM pop", "pop")
 sql("copurchase", "SELECT item_i, item_j, n_baskets FROM cop", "cop")
-sql("owned_copurchase", "SELECT customer_id, item_idx, score AS co_score FROM co_score", "co_score")
+sql("owned_copurchase", """SELECT customer_id, count(*) AS n_items, CAST(sum(score) AS BIGINT) AS score_sum, max(score) AS score_max,
+  CAST(sum(score * item_idx) AS BIGINT) AS weighted_sum FROM co_score GROUP BY 1""", "co_score")
 sql("candidates", "SELECT customer_id, item_idx, from_retrieval, from_history, from_popular FROM cand", "cand")
 sql("cand_emb_similarity", "SELECT customer_id, item_idx, emb_similarity FROM cand_sim", "cand_sim")
 sql("cand_emb_rank", "SELECT customer_id, item_idx, emb_rank FROM cand_sim", "cand_sim")

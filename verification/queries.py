@@ -823,7 +823,10 @@ def _(ws, spark, folder):
 
 @query("owned_copurchase")
 def _(ws, spark, folder):
-    return recommend.owned_copurchase(ws.weights("test"), ws.copurchase())
+    # The full product is the largest table here; it is computed whole and compared per customer.
+    return recommend.owned_copurchase(ws.weights("test"), ws.copurchase()).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("co_score").alias("score_sum"), F.max("co_score").alias("score_max"),
+        F.sum(F.col("co_score") * F.col("item_idx")).alias("weighted_sum"))
 
 
 @query("candidates")
