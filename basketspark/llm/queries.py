@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import decontaminate, licences, packing, quality, sharding, token_files, warc
+from basketspark.llm import decontaminate, licences, near_duplicates, packing, quality, sharding, token_files, warc
 from basketspark.llm.common import new_folder, table
 
 
@@ -45,6 +45,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"), words=2, percent=80)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded into id files and read back."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -54,7 +59,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_decontamination, op5_packing, op6_quality, op7_licences, op8_warc, op10_token_files)
+    f.__name__: f for f in (op1_sharding, op2_decontamination, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
