@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import decontaminate, licences, near_duplicates, packing, quality, sharding, token_files, warc
-from basketspark.llm.common import new_folder, table
+from basketspark.llm import decontaminate, language_model, licences, near_duplicates, neighbours, packing, quality, sharding, token_files, warc
+from basketspark.llm.common import id_remainder, new_folder, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all others."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from those whose id's crc32 leaves another remainder than 2 by 7."""
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    out = language_model.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents tokenised and packed into sequences of 2048."""
     return packing.packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -59,7 +71,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_decontamination, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files)
+    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
