@@ -30,27 +30,56 @@ def with_holdout(df: DataFrame, share: int = 20, key: str = "customer_id", seed:
     return df.withColumn("is_val", hash_bucket(key, 100, seed) < share)
 
 
-def _common(trees: int, depth: int, step: float, seed: int) -> dict:
+PATIENCE = 50
+
+
+def _common(depth: int, step: float, seed: int) -> dict:
     return dict(
-        featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=step, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=seed, validationIndicatorCol="is_val", checkpointInterval=10,
+        featuresCol="features", labelCol="label", maxDepth=depth, stepSize=step, subsamplingRate=0.8,
+        featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=seed, checkpointInterval=10,
     )
 
 
 def _training_frame(df: DataFrame, columns: list[str], label: Column) -> DataFrame:
     scratch_dir(df.sparkSession)
-    return df.select(tree_vector(columns).alias("features"), label.cast("double").alias("label"), "is_val")
+    return cut_lineage(df.select(tree_vector(columns).alias("features"), label.cast("double").alias("label"), "is_val"))
+
+
+def fit_with_patience(estimator, frame: DataFrame, trees: int, patience: int, losses_of):
+    """The best prefix of at most ``trees`` rounds by held-out loss, given up ``patience`` rounds after it.
+
+    The rounds fitted grow by doubling until the best prefix lies ``patience`` rounds back, and the best number is
+    fitted again: the seed and the stored rows are the same, so it is the same prefix. Without held-out rows all
+    rounds are kept. The model carries ``rounds_allowed`` and ``held_out_losses``, one for every prefix fitted.
+    """
+    train, held = frame.filter(~F.col("is_val")), frame.filter("is_val")
+    watched = not held.isEmpty()
+    rounds = min(trees, patience + 14) if watched else trees
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        losses = [float(x) for x in losses_of(model, held)] if watched else []
+        best = losses.index(min(losses)) + 1 if watched else rounds
+        if rounds >= trees or rounds - best >= patience:
+            break
+        rounds = min(trees, 2 * rounds)
+    if best < rounds:
+        model = estimator.copy({estimator.maxIter: best}).fit(train)
+    model.rounds_allowed, model.held_out_losses = trees, losses
+    return model
 
 
 def fit_gbt_classifier(df: DataFrame, columns: list[str], label: Column, trees: int = 600, depth: int = 4,
-                       step: float = 0.05, seed: int = 42) -> GBTClassificationModel:
-    """Boosted classifier, stopped on the held-out rows (``is_val``) when they no longer improve."""
-    return GBTClassifier(**_common(trees, depth, step, seed)).fit(_training_frame(df, columns, label))
+                       step: float = 0.05, seed: int = 42, patience: int = PATIENCE) -> GBTClassificationModel:
+    """Boosted classifier, stopped by the log loss of the held-out rows (``is_val``) with patience."""
+    estimator = GBTClassifier(**_common(depth, step, seed))
+    return fit_with_patience(estimator, _training_frame(df, columns, label), trees, patience, lambda model, held: model.evaluateEachIteration(held))
 
 
 def fit_gbt_regressor(df: DataFrame, columns: list[str], label: Column, trees: int = 2000, depth: int = 4,
-                      step: float = 0.05, seed: int = 42) -> GBTRegressionModel:
-    return GBTRegressor(lossType="squared", **_common(trees, depth, step, seed)).fit(_training_frame(df, columns, label))
+                      step: float = 0.05, seed: int = 42, patience: int = PATIENCE) -> GBTRegressionModel:
+    """Boosted regressor, stopped by the squared error of the held-out rows with patience."""
+    estimator = GBTRegressor(lossType="squared", **_common(depth, step, seed))
+    return fit_with_patience(estimator, _training_frame(df, columns, label), trees, patience, lambda model, held: model.evaluateEachIteration(held, "squared"))
 
 
 def predict_probability(model: GBTClassificationModel, df: DataFrame, columns: list[str], out: str = "p") -> DataFrame:

@@ -466,7 +466,7 @@ def recommendation_lists(listed: DataFrame, weights: DataFrame, items: DataFrame
 def fit_pointwise(labelled: DataFrame, trees: int = 500, depth: int = 6):
     from basketspark.operators import boosting
 
-    return boosting.fit_gbt_classifier(labelled, CANDIDATE_FEATURES, F.col("label"), trees, depth)
+    return boosting.fit_gbt_classifier(labelled, CANDIDATE_FEATURES, F.col("label"), trees, depth, patience=30)
 
 
 def fit_listwise(labelled: DataFrame, trees: int = 500, depth: int = 6):

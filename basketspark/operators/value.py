@@ -204,13 +204,14 @@ def expected_purchases(inputs: DataFrame, params: PurchaseParams, days: float =
     @F.pandas_udf("double")
     def hyp2f1(p: pd.Series, q: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
         p, q, c, z = (s.to_numpy(float) for s in (p, q, c, z))
-        term, total = np.ones_like(z), np.ones_like(z)
+        term, total, open_terms = np.ones_like(z), np.ones_like(z), np.ones_like(z, bool)
         for n in range(100_000):
             term = term * (p + n) * (q + n) / ((c + n) * (n + 1)) * z
             total = total + term
-            if n > 10 and np.all(np.abs(term) <= 1e-15 * np.maximum(np.abs(total), 1e-300)):
+            open_terms = ~(np.abs(term) <= 1e-15 * np.maximum(np.abs(total), 1e-300))
+            if n > 10 and not open_terms.any():
                 break
-        return pd.Series(total)
+        return pd.Series(np.where(open_terms, np.nan, total)).astype("Float64")  # a series that has not converged has no value
 
     x, t_x, t = F.col("x"), F.col("t_x"), F.col("t_total")
     z = F.lit(float(days)) / (F.lit(alpha) + t + F.lit(float(days)))

@@ -43,7 +43,7 @@ def test_silhouette_blocks_equal_brute_force(ws):
         s.append((b - a) / max(a, b))
     got = segment.silhouette(labelled).first()
     assert got["metric"] == "euclidean" and got["silhouette"] == pytest.approx(np.mean(s))
-    assert segment.silhouette(labelled, max_exact_rows=1).first()["metric"] == "squared_euclidean"
+    assert segment.linear_silhouette(labelled).first()["metric"] == "squared_euclidean"
 
 
 def test_profile_and_quintiles(ws):
@@ -114,6 +114,20 @@ def test_boosting_explanations_add_up(spark, learnable):
     assert table["trees"]["pr_auc"] > table["trees"]["base_rate"] and table["rule"]["brier"] is None
 
 
+def test_patience_keeps_the_best_prefix(spark, learnable):
+    """More than a few rounds are kept, the best loss is kept, and the refitted model is the prefix."""
+    model = repurchase.fit_classifier(learnable)
+    losses, kept = model.held_out_losses, model.getNumTrees
+    assert kept > 10 and losses[kept - 1] == min(losses) and losses[kept - 1] < losses[0]
+    assert len(losses) - kept >= boosting.PATIENCE or len(losses) == model.rounds_allowed == 600
+    held = boosting.with_holdout(learnable).select(boosting.tree_vector(FEATURE_COLUMNS).alias("features"), F.col("repurchased").cast("double").alias("label"), "is_val")
+    again = model.evaluateEachIteration(held.filter("is_val"))
+    assert again == pytest.approx(losses[:kept])
+    one = repurchase.fit_classifier(learnable, trees=1)
+    pr = {name: repurchase.contender_table({"m": repurchase.score(m, learnable).withColumn("y", F.col("repurchased"))}).first()["pr_auc"] for name, m in (("all", model), ("one", one))}
+    assert pr["all"] > pr["one"]
+
+
 def test_contributions_equal_brute_force_shapley(spark, learnable):
     """Path-dependent Shapley values by enumerating feature subsets of a tiny ensemble."""
     model = repurchase.fit_classifier(learnable, trees=2)

@@ -17,9 +17,6 @@ from basketspark.streaming.scoring import score_requests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Boosting rounds used by these queries; the operators' own defaults are 500 to 2000.
-TREES = {"classifier": 20, "regressor": 20, "ranker": 10, "listwise": 5}
-
 # Parameters used where a query must not depend on a fit.
 FIXED_CENTROIDS = [(-0.9, 0.9, 0.9), (0.6, 0.2, 0.3), (-0.4, -1.0, -0.9), (1.1, -1.2, -1.1)]
 FIXED_BUYING = value.PurchaseParams(r=0.6028, alpha=47.5292, a=0.0799, b=0.7127)
@@ -35,7 +32,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
         _workspaces[key] = Workspace(
-            spark, lambda: ledger_from_orders(spark, folder), folder, trees=TREES, n_init=3,
+            spark, lambda: ledger_from_orders(spark, folder), folder,
             external_vectors=lambda items: vectors_from_embeddings(spark, folder, items),
         )
     return _workspaces[key]
@@ -397,7 +394,7 @@ def _(ws, spark, folder):
 
 @query("choose_k")
 def _(ws, spark, folder):
-    return rounded(segment.choose_k(ws.features("train"), range(2, 9), n_init=1))
+    return rounded(segment.choose_k(ws.features("train"), range(2, 9)))
 
 
 @query("silhouette")
@@ -407,7 +404,7 @@ def _(ws, spark, folder):
 
 @query("scaling_comparison")
 def _(ws, spark, folder):
-    return rounded(segment.scaling_comparison(ws.features("train"), n_init=1))
+    return rounded(segment.scaling_comparison(ws.features("train")))
 
 
 @query("segment_profile")
@@ -531,8 +528,12 @@ def _(ws, spark, folder):
 
 @query("early_stopping")
 def _(ws, spark, folder):
-    kept = ws.classifier().getNumTrees
-    return ws.features("train").agg(F.count(F.lit(1)).alias("customers"), F.lit(TREES["classifier"]).alias("trees_allowed"), F.lit(kept).alias("trees_kept"))
+    model = ws.classifier()
+    kept, losses = model.getNumTrees, model.held_out_losses
+    before = losses[kept - 2] if kept > 1 else None
+    return rounded(ws.features("train").agg(
+        F.count(F.lit(1)).alias("customers"), F.lit(model.rounds_allowed).alias("trees_allowed"), F.lit(len(losses)).alias("trees_tried"),
+        F.lit(kept).alias("trees_kept"), F.lit(losses[kept - 1]).alias("best_loss"), F.lit(before).cast("double").alias("loss_one_round_earlier")))
 
 
 @query("isotonic_calibration")
