@@ -24,6 +24,9 @@ FIXED_SPENDING = value.SpendParams(p=1.896, q=3.820, v=544.11)
 EFFECT_CENTRES = [300.0, 7.0, 600000.0, 90000.0, 1900.0, 25.0, 650.0, 90.0, 350.0, 26000.0, 0.5, 2.0, 50000.0]
 EFFECT_SCALES = [-251.3, 5.3, 400003.7, 70001.9, 907.1, 21.7, 503.3, 61.3, -307.1, 40009.3, 1.3, -3.1, -60013.1]
 
+# Both rankers stop here in these queries; their default of 500 rounds takes too long on one machine (see README).
+RANKER_ROUNDS = {"ranker": 44, "listwise": 44}
+
 _workspaces: dict[tuple[str, str], Workspace] = {}
 
 
@@ -32,7 +35,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
         _workspaces[key] = Workspace(
-            spark, lambda: ledger_from_orders(spark, folder), folder,
+            spark, lambda: ledger_from_orders(spark, folder), folder, trees=RANKER_ROUNDS,
             external_vectors=lambda items: vectors_from_embeddings(spark, folder, items),
         )
     return _workspaces[key]
