@@ -4,8 +4,9 @@ Every distinct shingle set has 128 MinHash values. Twenty trees each order the s
 values; sets that share the first four are in one region of a tree. Candidates are, first, neighbours in sorted
 order, whose common prefix is the longest: in a dense region that is a deep level of the tree, in a sparse one a
 shallow level. Confirmed links join sets into classes. Then every region that still holds several classes is
-compared at its whole depth, class against class, until no pair that may be similar is left unconfirmed. So large
-groups cost about a link a member, and no link between classes is given up to save work.
+compared as a whole, class against class: once along the pairs that would join all its classes, and at last every
+pair that may be similar is judged where it lies. So large groups send about a link a member, and no link between
+classes is given up to save work.
 
 A pair of similarity 0.8 is in no common region of any tree with a probability under 3e-5, and is taken for less
 similar by its 128 values with one under 1e-6.
@@ -24,7 +25,8 @@ from basketspark.llm.common import MIX, Written, WordHasher, mix64
 from basketspark.llm.components import components
 
 VALUES, TREES, DEPTH = 128, 20, 4
-CHUNK = 512
+CHUNK, BLOCK = 2048, 512  # rows of a chunk; rows compared at once
+LITTLE = 16
 SET_BYTES = 6
 
 _rng = np.random.default_rng(20_240_601)
@@ -50,7 +52,7 @@ def regions(values: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (size of the shingle set), set_id (hash of the set), signature (a byte a value) and regions."""
+    """doc_id, n (size of the shingle set), set_id (hash of the set), signature (a byte a value), regions, and the same as bytes (trees)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -63,13 +65,14 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 if len(h):
                     v = minhash(h)
                     short = ((v * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
-                    rows.append((doc_id, len(h), xxhash.xxh3_64_intdigest(h.tobytes()) - 2**63, short.tobytes(), regions(v)))
+                    r = regions(v)
+                    rows.append((doc_id, len(h), xxhash.xxh3_64_intdigest(h.tobytes()) - 2**63, short.tobytes(), r, r.tobytes()))
                 else:
-                    rows.append((doc_id, 0, None, None, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "set_id", "signature", "regions"])
+                    rows.append((doc_id, 0, None, None, None, None))
+            out = pd.DataFrame(rows, columns=["doc_id", "n", "set_id", "signature", "regions", "trees"])
             yield out.astype({"doc_id": "Int64", "set_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe, "doc_id long, n long, set_id long, signature binary, regions array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe, "doc_id long, n long, set_id long, signature binary, regions array<long>, trees binary")
 
 
 def order_of(tree: Column) -> Column:
@@ -104,105 +107,203 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.select("region", "set_id", "n", "signature").mapInPandas(adjacent, "a long, b long").distinct()
 
 
-def across_classes(rows: DataFrame, percent: int, pairs_per_class: int | None) -> DataFrame:
-    """Pairs a, b of different classes in one region that may be similar.
+def class_tasks(rows: DataFrame) -> DataFrame:
+    """The regions that hold several classes, dealt to comparison tasks region, i, j, with a row's own chunk.
 
-    ``rows``: region, set_id, n, signature, label. At most ``pairs_per_class`` of the most similar for each two
-    classes in a region, None for all. Regions over CHUNK rows are cut into chunks, ordered by class, and pairs of
-    chunks are compared in tasks of their own, but for those that hold one and the same class.
+    ``rows``: region, set_id, n, signature, trees, label. Regions over CHUNK rows are cut into chunks of about that
+    size: a large class into chunks of its own, small ones together. Every two chunks are a task, but for those that
+    hold one and the same class, so a large class meets the few rows beside it and not itself.
     """
-    least = agreeing(percent)
     mixed = rows.groupBy("region").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     rows = rows.join(mixed.select("region", "size"), "region")
-    small = rows.filter(f"size <= {CHUNK}").select("region", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("chunk"), "set_id", "n", "signature", "label")
-    # Chunks of a large region: classes are spread by hash ranges of (label, set), so that no row number over a region is needed.
+    columns = ["set_id", "n", "signature", "trees", "label"]
+    small = rows.filter(f"size <= {CHUNK}").select("region", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("chunk"), *columns)
     large = rows.filter(f"size > {CHUNK}")
     by_label = large.groupBy("region", "label").agg(F.count("*").alias("own"))
-    parts = F.ceil(F.col("own") / CHUNK).cast("int")
     large = large.join(by_label, ["region", "label"])
     few = F.pmod(F.xxhash64("label"), F.ceil(F.col("size") / CHUNK)).cast("int")
-    many = F.pmod(F.xxhash64("set_id"), parts).cast("int")
-    chunk = F.when(F.col("own") <= CHUNK // 4, few).otherwise(F.pmod(F.xxhash64("label", many), F.lit(2**30)).cast("int") + 2**30 - 1)
+    many = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("own") / CHUNK)).cast("int")
+    chunk = F.when(F.col("own") <= CHUNK // 4, few).otherwise(F.pmod(F.xxhash64("label", many), F.lit(2**30)).cast("int") + (2**30 - 1))
     large = large.withColumn("chunk", chunk)
     chunks = large.groupBy("region", "chunk").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     other = chunks.select("region", F.col("chunk").alias("other"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"))
     pairs = chunks.join(other, "region").filter("NOT (lo = hi AND other_lo = other_hi AND lo = other_lo)").select("region", "chunk", "other")
-    tasks = large.join(pairs, ["region", "chunk"]).select(
-        "region", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "set_id", "n", "signature", "label"
-    )
+    dealt = large.join(pairs, ["region", "chunk"]).select("region", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", *columns)
+    return small.unionByName(dealt)
+
+
+def in_tasks(tasks: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on runs of complete tasks."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_groups(batches, ["region", "i", "j"]):
+            yield from run(part.reset_index(drop=True))
+
+    return tasks.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInPandas(each, schema)
+
+
+def spanning_pairs(tasks: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of different classes that may be similar: the most similar ones that would join all classes of a task."""
+    least = agreeing(percent)
+
+    def run(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        x, y, group = similar_pairs(part, percent, least)
+        label, sid = part.label.to_numpy(), part.set_id.to_numpy()
+        keep = spanning(group, label[x], label[y])
+        yield pd.DataFrame({"a": np.minimum(sid[x], sid[y])[keep], "b": np.maximum(sid[x], sid[y])[keep]})
+
+    return in_tasks(tasks, run, "a long, b long").distinct()
+
+
+def undecided(tasks: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``tasks`` that may be similar to one of another class there."""
+    least = agreeing(percent)
+
+    def run(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        x, y, _ = similar_pairs(part, percent, least)
+        yield part.iloc[np.unique(np.r_[x, y])]
+
+    return in_tasks(tasks, run, tasks_schema(tasks))
+
+
+def tasks_schema(tasks: DataFrame) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in tasks.dtypes)
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in grouped(batches, ["region", "i", "j"]):
-            found = compare_group(group, percent, least, pairs_per_class)
-            if len(found):
-                yield found
 
-    both = small.unionByName(tasks).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
-    return both.mapInPandas(compare, "a long, b long").distinct()
+def links_across(tasks: DataFrame, percent: int) -> DataFrame:
+    """Links a, b between different classes, confirmed on the full sets in column ``members``.
 
+    Every pair of different classes that may be similar is judged in the first tree that has both in one region,
+    except where links found before in the same task have joined their classes; so only links leave a task, and fewer
+    than it has classes.
+    """
+    least = agreeing(percent)
+
+    def run(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        x, y, group = similar_pairs(part, percent, least)
+        label, sid, sets = part.label.to_numpy(), part.set_id.to_numpy(), part.members.to_numpy()
+        known: dict[int, np.ndarray] = {}
+
+        def full(k: int) -> np.ndarray:
+            if k not in known:
+                if len(known) > CHUNK:
+                    known.clear()
+                known[k] = unpacked(sets[k])
+            return known[k]
+
+        keep = spanning(group, label[x], label[y], lambda k: similar(full(x[k]), full(y[k]), percent))
+        yield pd.DataFrame({"a": sid[x][keep], "b": sid[y][keep]})
 
-def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Groups of rows with equal keys from sorted batches."""
+    return in_tasks(tasks, run, "a long, b long").distinct()
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Runs of complete groups of rows with equal keys from sorted batches."""
     rest = None
     for batch in batches:
         batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         if not len(batch):
             continue
         values = batch[keys].to_numpy()
-        starts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()]
-        for lo, hi in zip(starts, starts[1:]):
-            yield batch.iloc[lo:hi]
-        rest = batch.iloc[starts[-1] :]
-    if rest is not None:
+        change = np.flatnonzero((values[1:] != values[:-1]).any(axis=1))
+        last = int(change[-1]) + 1 if len(change) else 0
+        if last:
+            yield batch.iloc[:last]
+        rest = batch.iloc[last:].reset_index(drop=True)
+    if rest is not None and len(rest):
         yield rest
 
 
-def compare_group(group: pd.DataFrame, percent: int, least: int, pairs_per_class: int | None) -> pd.DataFrame:
-    label, n, sid, chunk = (group[c].to_numpy() for c in ("label", "n", "set_id", "chunk"))
-    i, j = int(group.i.iloc[0]), int(group.j.iloc[0])
-    none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    if label.min() == label.max():
-        return none
-    sig = np.frombuffer(b"".join(group.signature), np.uint8).reshape(-1, VALUES)
-    left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    rows_a, rows_b, rows_s = [], [], []
-    for lo in range(0, len(left), CHUNK):
-        own = left[lo : lo + CHUNK]
-        for ro in range(0, len(right), CHUNK):
-            oth = right[ro : ro + CHUNK]
-            same = np.zeros((len(own), len(oth)), np.uint8)
-            for k in range(VALUES):
-                same += sig[own, k][:, None] == sig[oth, k][None]
-            ok = (same >= least) & (label[own][:, None] != label[oth][None])
-            ok &= 100 * np.minimum(n[own][:, None], n[oth][None]) >= percent * np.maximum(n[own][:, None], n[oth][None])
-            x, y = np.nonzero(ok)
-            rows_a.append(own[x])
-            rows_b.append(oth[y])
-            rows_s.append(same[x, y])
-    a, b, s = np.concatenate(rows_a), np.concatenate(rows_b), np.concatenate(rows_s)
-    if not len(a):
-        return none
-    out = pd.DataFrame({"a": np.minimum(sid[a], sid[b]), "b": np.maximum(sid[a], sid[b]), "s": s,
-                        "la": np.minimum(label[a], label[b]), "lb": np.maximum(label[a], label[b])}).drop_duplicates(["a", "b"])
-    if pairs_per_class:
-        out = out.sort_values(["s", "a", "b"], ascending=[False, True, True]).groupby(["la", "lb"], sort=False).head(pairs_per_class)
-    return out[["a", "b"]]
+def similar_pairs(part: pd.DataFrame, percent: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers x and y and task number of all pairs of different classes in a task that may be similar, most similar first.
+
+    Pairs that an earlier tree has in one region are left to that region.
+    """
+    region, i, j, chunk, label, n = (part[c].to_numpy() for c in ("region", "i", "j", "chunk", "label", "n"))
+    sig = np.frombuffer(b"".join(part.signature), np.uint8).reshape(-1, VALUES)
+    trees = np.frombuffer(b"".join(part.trees), np.int64).reshape(-1, TREES)
+    new = np.r_[True, (region[1:] != region[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+    group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    sizes = np.diff(np.r_[starts, len(part)])
+    found = []
+
+    def keep(x: np.ndarray, y: np.ndarray, same: np.ndarray | None = None) -> None:
+        ok = (label[x] != label[y]) & ((i[x] == j[x]) | (chunk[x] != chunk[y])) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        same = (sig[x] == sig[y]).sum(axis=1) if same is None else same[ok]
+        ok = same >= least
+        x, y, same = x[ok], y[ok], same[ok].astype(np.int64)
+        ok = trees[x, np.argmax(trees[x] == trees[y], axis=1)] == region[x]
+        found.append((x[ok], y[ok], same[ok]))
+
+    little = (sizes <= LITTLE)[group]
+    for d in range(1, LITTLE):  # row k against row k + d, for all little groups together
+        x = np.flatnonzero(little[:-d] & (group[d:] == group[:-d])) if len(part) > d else np.zeros(0, np.int64)
+        if not len(x):
+            break
+        keep(x, x + d)
+    for g in np.flatnonzero(sizes > LITTLE):
+        rows = np.arange(starts[g], starts[g] + sizes[g])
+        if label[rows].min() == label[rows].max():
+            continue
+        left, right = rows[chunk[rows] == i[rows[0]]], rows[chunk[rows] == j[rows[0]]]
+        for lo in range(0, len(left), BLOCK):
+            for ro in range(0, len(right), BLOCK):
+                own, other = left[lo : lo + BLOCK], right[ro : ro + BLOCK]
+                same = np.zeros((len(own), len(other)), np.uint8)
+                for k in range(VALUES):
+                    same += sig[own, k][:, None] == sig[other, k][None]
+                x, y = np.nonzero(same >= least)
+                once = (own[x] < other[y]) | (i[rows[0]] != j[rows[0]])
+                keep(own[x[once]], other[y[once]], same[x[once], y[once]])
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    x, y, same = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((y, x, -same, group[x]))
+    return x[order], y[order], group[x[order]]
+
+
+def spanning(group: np.ndarray, la: np.ndarray, lb: np.ndarray, linked=None) -> np.ndarray:
+    """Which pairs, in the given order, join classes of their group that earlier pairs have not joined yet.
+
+    With ``linked``, only pairs for whose number it is true join classes.
+    """
+    keep, parent, now = np.zeros(len(group), bool), {}, None
+
+    def top(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    for k, (g, a, b) in enumerate(zip(group.tolist(), la.tolist(), lb.tolist())):
+        if g != now:
+            parent, now = {}, g
+        if (a := top(a)) != (b := top(b)) and (linked is None or linked(k)):
+            parent[a] = b
+            keep[k] = True
+    return keep
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, linked: whether 100 * intersection >= percent * union on the full sets."""
+    """The pairs a, b with 100 * intersection >= percent * union on the full sets."""
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.set_a, batch.set_b):
-                p, q = unpacked(x), unpacked(y)
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                linked.append(100 * shared >= percent * (len(p) + len(q) - shared))
-            yield pd.DataFrame({"a": batch.a, "b": batch.b, "linked": np.array(linked, bool)})
+            linked = [similar(unpacked(x), unpacked(y), percent) for x, y in zip(batch.set_a, batch.set_b)]
+            yield pd.DataFrame({"a": batch.a, "b": batch.b})[np.array(linked, bool)]
 
     first = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("members").alias("set_b")), "b")
-    return first.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("set_a")), "a").mapInPandas(judge, "a long, b long, linked boolean")
+    return first.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("set_a")), "a").mapInPandas(judge, "a long, b long")
+
+
+def similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two ascending arrays without repeats share enough: 100 * intersection >= percent * union."""
+    if len(p) > len(q):
+        p, q = q, p
+    at = np.searchsorted(q, p)
+    shared = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+    return 100 * shared >= percent * (len(p) + len(q) - shared)
 
 
 def packed(h: np.ndarray) -> bytes:
@@ -238,31 +339,32 @@ def set_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[Dat
     written = Written(docs.sparkSession, "near-duplicates")
     rows = written.keep(described(docs, words), "described")
     sets = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    sets = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("n", "signature", "regions"), "doc_id").alias("s"))
-    sets = written.keep(sets.select("set_id", "doc_id", "s.n", "s.signature", "s.regions"), "sets")
+    sets = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("n", "signature", "regions", "trees"), "doc_id").alias("s"))
+    sets = written.keep(sets.select("set_id", "doc_id", "s.*"), "sets")
 
     places = sets.select("set_id", F.posexplode("regions").alias("tree", "region"))
     shared = places.groupBy("region").agg(F.count("*").alias("k")).filter("k > 1").select("region")
-    members = places.join(shared, "region").join(sets.select("set_id", "n", "signature"), "set_id")
-    members = written.keep(members.select("region", "tree", "set_id", "n", "signature"), "members")
+    members = places.join(shared, "region").join(sets.select("set_id", "n", "signature", "trees"), "set_id")
+    members = written.keep(members.select("region", "tree", "set_id", "n", "signature", "trees"), "members")
     wanted = members.select("set_id").distinct().join(sets.select("set_id", "doc_id"), "set_id")
     full = written.keep(full_sets(docs, wanted, words), "full")
 
-    judged = written.keep(confirmed(neighbours(members.filter("tree < 2"), percent), full, percent), "judged")
-    links = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = written.keep(components(links), "labels")
-    for pairs_per_class in (4, 64, None):
-        now = members.join(labels.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("label", F.coalesce("root", "set_id"))
-        pairs = across_classes(now.select("region", "set_id", "n", "signature", "label"), percent, pairs_per_class).join(judged.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written.keep(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        more = written.keep(confirmed(pairs, full, percent), "judged")
-        judged = judged.unionByName(more)
-        new = more.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not new.isEmpty():
-            labels = written.keep(components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(new)), "labels")
-    written.drop("members", "full", "pairs", "judged")
+    def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """Classes after further links: node, root."""
+        links = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        return written.keep(components(links), "labels")
+
+    def tasks(labels: DataFrame) -> DataFrame:
+        now = members.join(labels.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
+        return class_tasks(now.select("region", "set_id", "n", "signature", "trees", F.coalesce("root", "set_id").alias("label")))
+
+    labels = joined(None, confirmed(neighbours(members.filter("tree < 2"), percent), full, percent))
+    labels = joined(labels, confirmed(spanning_pairs(tasks(labels), percent), full, percent))
+    rest = written.keep(undecided(tasks(labels), percent), "rest")
+    labels = joined(labels, links_across(rest.join(full, "set_id"), percent))
+    written.drop("members", "full", "rest")
     return rows.select("doc_id", "n", "set_id"), labels.select(F.col("node").alias("set_id"), F.col("root").alias("label"))
 
 
