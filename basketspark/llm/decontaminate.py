@@ -133,7 +133,7 @@ def contained_sql(n: int = 5, threshold: float = 0.8) -> str:
 
     def shingles(name: str, key: str) -> str:
         return f"""{name} AS (
-  SELECT DISTINCT row_id, {key}, unnest(list_transform(range(1, greatest(len(w) - {n} + 1, 1) + 1), i -> array_to_string(list_slice(w, i, i + {n} - 1), ' '))) AS s
+  SELECT DISTINCT row_id, {key}, unnest(list_transform(range(1, greatest(len(w) - {n} + 1, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + {n} - 1), ' '))) AS s
   FROM (SELECT row_number() OVER () AS row_id, {key}, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS w FROM {'documents' if key == 'doc_id' else 'benchmark'}) WHERE len(w) > 0)"""
 
     return f"""
