@@ -28,6 +28,7 @@ VALUES, TREES, DEPTH = 128, 20, 4
 CHUNK, BLOCK = 2048, 512  # rows of a chunk; rows compared at once
 LITTLE = 16
 SET_BYTES = 6
+PAIRS = "a long, b long, block long"
 
 _rng = np.random.default_rng(20_240_601)
 FACTORS = (_rng.integers(0, 2**32, VALUES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -87,11 +88,13 @@ def agreeing(percent: int) -> int:
 
 
 def neighbours(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b that follow each other in the sorted order of a region and may be similar."""
+    """Pairs a, b that follow each other in the sorted order of a region and may be similar; block: a stretch of that order."""
     least = agreeing(percent)
 
     def adjacent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None
+        from pyspark import TaskContext
+
+        last, at, task = None, 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             if last is not None:
                 batch = pd.concat([last, batch], ignore_index=True)
@@ -100,11 +103,14 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
                 region, n, sid = batch.region.to_numpy(), batch.n.to_numpy(), batch.set_id.to_numpy()
                 near = (region[1:] == region[:-1]) & ((sig[1:] == sig[:-1]).sum(axis=1) >= least)
                 near &= 100 * np.minimum(n[1:], n[:-1]) >= percent * np.maximum(n[1:], n[:-1])
-                yield pd.DataFrame({"a": np.minimum(sid[1:], sid[:-1])[near], "b": np.maximum(sid[1:], sid[:-1])[near]})
+                block = task + (at + np.arange(len(near))) // CHUNK
+                yield pd.DataFrame({"a": np.minimum(sid[1:], sid[:-1])[near], "b": np.maximum(sid[1:], sid[:-1])[near], "block": block[near]})
+                at += len(near)
             last = batch.tail(1)
 
-    sorted_rows = rows.repartition("region").withColumn("order", order_of(F.col("tree"))).sortWithinPartitions("region", "order")
-    return sorted_rows.select("region", "set_id", "n", "signature").mapInPandas(adjacent, "a long, b long").distinct()
+    sorted_rows = rows.repartition("region").withColumn("order", order_of(F.col("tree"))).sortWithinPartitions("region", "order", "set_id")
+    pairs = sorted_rows.select("region", "set_id", "n", "signature").mapInPandas(adjacent, PAIRS)
+    return pairs.groupBy("a", "b").agg(F.min("block").alias("block"))
 
 
 def class_tasks(rows: DataFrame) -> DataFrame:
@@ -143,16 +149,17 @@ def in_tasks(tasks: DataFrame, run, schema: str) -> DataFrame:
 
 
 def spanning_pairs(tasks: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of different classes that may be similar: the most similar ones that would join all classes of a task."""
+    """Pairs a, b of different classes that may be similar: the most similar ones that would join all classes of a task; block: the task."""
     least = agreeing(percent)
 
     def run(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         x, y, group = similar_pairs(part, percent, least)
         label, sid = part.label.to_numpy(), part.set_id.to_numpy()
         keep = spanning(group, label[x], label[y])
-        yield pd.DataFrame({"a": np.minimum(sid[x], sid[y])[keep], "b": np.maximum(sid[x], sid[y])[keep]})
+        block = (part.region + part.i * 1_000_003 + part.j).to_numpy()[x]
+        yield pd.DataFrame({"a": np.minimum(sid[x], sid[y])[keep], "b": np.maximum(sid[x], sid[y])[keep], "block": block[keep]})
 
-    return in_tasks(tasks, run, "a long, b long").distinct()
+    return in_tasks(tasks, run, PAIRS).groupBy("a", "b").agg(F.min("block").alias("block"))
 
 
 def undecided(tasks: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +178,7 @@ def tasks_schema(tasks: DataFrame) -> str:
 
 
 def links_across(tasks: DataFrame, percent: int) -> DataFrame:
-    """Links a, b between different classes, confirmed on the full sets in column ``members``.
+    """Links a, b between the labels of different classes, confirmed on the full sets in column ``members``.
 
     Every pair of different classes that may be similar is judged in the first tree that has both in one region,
     except where links found before in the same task have joined their classes; so only links leave a task, and fewer
@@ -181,7 +188,7 @@ def links_across(tasks: DataFrame, percent: int) -> DataFrame:
 
     def run(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         x, y, group = similar_pairs(part, percent, least)
-        label, sid, sets = part.label.to_numpy(), part.set_id.to_numpy(), part.members.to_numpy()
+        label, sets = part.label.to_numpy(), part.members.to_numpy()
         known: dict[int, np.ndarray] = {}
 
         def full(k: int) -> np.ndarray:
@@ -192,7 +199,7 @@ def links_across(tasks: DataFrame, percent: int) -> DataFrame:
             return known[k]
 
         keep = spanning(group, label[x], label[y], lambda k: similar(full(x[k]), full(y[k]), percent))
-        yield pd.DataFrame({"a": sid[x][keep], "b": sid[y][keep]})
+        yield stars(label[x][keep], label[y][keep])
 
     return in_tasks(tasks, run, "a long, b long").distinct()
 
@@ -286,15 +293,44 @@ def spanning(group: np.ndarray, la: np.ndarray, lb: np.ndarray, linked=None) ->
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b with 100 * intersection >= percent * union on the full sets."""
+    """The pairs a, b, block with 100 * intersection >= percent * union on the full sets."""
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             linked = [similar(unpacked(x), unpacked(y), percent) for x, y in zip(batch.set_a, batch.set_b)]
-            yield pd.DataFrame({"a": batch.a, "b": batch.b})[np.array(linked, bool)]
+            yield batch[["a", "b", "block"]][np.array(linked, bool)]
 
     first = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("members").alias("set_b")), "b")
-    return first.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("set_a")), "a").mapInPandas(judge, "a long, b long")
+    return first.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("set_a")), "a").mapInPandas(judge, PAIRS)
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Links a, b that connect the same nodes as the given ones, each node with the smallest it reaches here."""
+    parent: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    for u, v in zip(a.tolist(), b.tolist()):
+        if (u := top(u)) != (v := top(v)):
+            parent[max(u, v)] = min(u, v)
+    nodes = np.array(list(parent), np.int64)
+    return pd.DataFrame({"a": np.array([top(c) for c in nodes.tolist()], np.int64), "b": nodes})
+
+
+def shortened(links: DataFrame) -> DataFrame:
+    """``links`` (a, b, block) with the paths inside a block replaced by stars, so that components take few passes.
+
+    Links of a block lie together; each batch is replaced by itself, so a block of any size takes bounded memory.
+    """
+
+    def replace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield stars(batch.a.to_numpy(), batch.b.to_numpy())
+
+    return links.repartition("block").sortWithinPartitions("block", "a", "b").mapInPandas(replace, "a long, b long")
 
 
 def similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
@@ -360,8 +396,8 @@ def set_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[Dat
         now = members.join(labels.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
         return class_tasks(now.select("region", "set_id", "n", "signature", "trees", F.coalesce("root", "set_id").alias("label")))
 
-    labels = joined(None, confirmed(neighbours(members.filter("tree < 2"), percent), full, percent))
-    labels = joined(labels, confirmed(spanning_pairs(tasks(labels), percent), full, percent))
+    labels = joined(None, shortened(confirmed(neighbours(members.filter("tree < 2"), percent), full, percent)))
+    labels = joined(labels, shortened(confirmed(spanning_pairs(tasks(labels), percent), full, percent)))
     rest = written.keep(undecided(tasks(labels), percent), "rest")
     labels = joined(labels, links_across(rest.join(full, "set_id"), percent))
     written.drop("members", "full", "rest")
