@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+PAIRS_PER_TASK = 50_000_000
 
 
 def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
@@ -21,37 +22,47 @@ def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     rows = small.count() if small_rows is None else small_rows
     if rows <= max_broadcast_rows:
         return big.join(F.broadcast(small), key, how)
-    return salted_join(big, small, key, how)
+    return salted_join(big, small, key, how, unique=True)
 
 
 def salted_join(big: DataFrame, other: DataFrame, key: str, how: str = "inner",
-                rows_per_salt: int = 500_000) -> DataFrame:
+                rows_per_salt: int = 500_000, pairs_per_task: int = PAIRS_PER_TASK, unique: bool = False) -> DataFrame:
     """Equi-join that splits heavy keys over several tasks, exactly.
 
-    Every key gets ``1 + rows(key) div rows_per_salt`` salts. Rows of ``big``
-    pick one by hash, rows of ``other`` are copied once per salt of their key.
-    Keys below the threshold are joined as usual, so only heavy keys pay.
-    The heavy-key table is broadcast: it holds at most rows(big)/rows_per_salt
-    keys and is checked before.
+    A key is heavy by its rows on either side or by the pairs it makes, and
+    becomes a grid of tasks: its rows of ``big`` are hashed into bands, its rows
+    of ``other`` into strips, and each band meets each strip once. Keys below
+    the thresholds are joined as usual, so only heavy keys pay. A left join can
+    only cut ``big``. ``unique`` says that ``other`` has one row per key, so it
+    need not be counted. The heavy-key table is broadcast after a count.
     """
-    heavy = (
-        big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_salt)
-        .select(key, (F.lit(1) + F.floor(F.col("_rows") / rows_per_salt)).cast("int").alias("_salts"))
-    )
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_l"))
+    if unique:
+        counts = counts.withColumn("_r", F.lit(1).cast("bigint"))
+    else:
+        counts = counts.join(other.groupBy(key).agg(F.count(F.lit(1)).alias("_r")), key)
+    made = F.col("_l").cast("double") * F.col("_r")
+    side = float(pairs_per_task) ** 0.5
+
+    def cuts(own: str, against: str):
+        by_pairs = F.when(made > pairs_per_task, F.ceil(F.col(own) / F.greatest(F.lit(side), pairs_per_task / F.col(against))))
+        return F.greatest(F.floor(F.col(own) / rows_per_salt) + 1, F.coalesce(by_pairs, F.lit(1))).cast("int")
+
+    strips = cuts("_r", "_l") if how == "inner" and not unique else F.lit(1)
+    heavy = counts.select(key, cuts("_l", "_r").alias("_bands"), strips.alias("_strips")).filter("_bands > 1 OR _strips > 1")
     n_heavy = heavy.limit(MAX_BROADCAST_ROWS + 1).count()
     if n_heavy == 0:
         return big.join(other, key, how)
     spread = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_ROWS else heavy
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    left = big.join(spread, key, "left").withColumn("_salt", F.pmod(row_hash, salts).cast("int")).drop("_salts")
-    right = (
-        other.join(spread, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    bands, strips = F.coalesce(F.col("_bands"), F.lit(1)), F.coalesce(F.col("_strips"), F.lit(1))
+
+    def placed(df: DataFrame, own: str, n, copied: str, m) -> DataFrame:
+        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+        return df.join(spread, key, "left").withColumn(own, F.pmod(row_hash, n).cast("int")).withColumn(
+            copied, F.explode(F.sequence(F.lit(0), m - 1))).drop("_bands", "_strips")
+
+    left, right = placed(big, "_band", bands, "_strip", strips), placed(other, "_strip", strips, "_band", bands)
+    return left.join(right, [key, "_band", "_strip"], how).drop("_band", "_strip")
 
 
 def grid_product(left: DataFrame, right: DataFrame, left_id: str, right_id: str,

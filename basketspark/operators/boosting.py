@@ -265,8 +265,17 @@ def fit_listwise(df: DataFrame, columns: list[str], trees: int = 500, depth: int
     return model[:best_round] or model
 
 
+def as_ensemble(model: list, spark) -> GBTRegressionModel:
+    """The trees of a list as one weighted ensemble, which scores a row in a single step."""
+    gateway, ml = spark.sparkContext._gateway, spark._jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ml.DecisionTreeRegressionModel, len(model))
+    steps = gateway.new_array(gateway.jvm.double, len(model))
+    for i, (tree, step) in enumerate(model):
+        trees[i], steps[i] = tree._java_obj, float(step)
+    return GBTRegressionModel(ml.GBTRegressionModel(f"listwise_{uuid.uuid4().hex[:12]}", trees, steps))
+
+
 def predict_listwise(model: list, df: DataFrame, columns: list[str], out: str = "score") -> DataFrame:
-    scored = df.withColumn("features", tree_vector(columns)).withColumn(out, F.lit(0.0))
-    for tree, step in model:
-        scored = tree.transform(scored).withColumn(out, F.col(out) + F.lit(step) * F.col("prediction")).drop("prediction")
-    return scored.drop("features")
+    """``df`` with the summed, weighted predictions of all trees; the plan does not grow with their number."""
+    scored = as_ensemble(model, df.sparkSession).transform(df.withColumn("features", tree_vector(columns)))
+    return scored.withColumn(out, F.col("prediction")).select(*df.columns, out)

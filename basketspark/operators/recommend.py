@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -20,7 +22,6 @@ N_CANDIDATES = 200
 N_POPULAR = 50
 TOP_K = 12
 HALF_LIFE_DAYS = 90.0
-WEIGHT_DECIMALS = 9
 VECTOR_BROADCAST_ROWS = 50_000
 PAIR_BROADCAST_ROWS = 2_000_000
 OWNED_ROWS_PER_TASK = 20_000
@@ -54,7 +55,7 @@ def baskets(observation: DataFrame, part_size: int = 1000) -> DataFrame:
     """
     lines = observation.groupBy("invoice").agg(F.count(F.lit(1)).alias("n_lines"))
     large = lines.filter(F.col("n_lines") > part_size).select("invoice", F.ceil(F.col("n_lines") / part_size).cast("int").alias("n_parts"))
-    rows = salted_join(observation, large, "invoice", "left") if large.limit(1).count() else observation.withColumn("n_parts", F.lit(1))
+    rows = salted_join(observation, large, "invoice", "left", unique=True) if large.limit(1).count() else observation.withColumn("n_parts", F.lit(1))
     n_parts = F.coalesce(F.col("n_parts"), F.lit(1))
     return (
         rows.select("invoice", "stock_code", n_parts.alias("n_parts"),
@@ -87,18 +88,19 @@ def corpus_stats(observation: DataFrame, items: DataFrame, top: int = 100) -> Da
 
 
 def item2vec(basket_rows: DataFrame, items: DataFrame, dim: int = 64, min_count: int = 5, epochs: int = 10, seed: int = 42,
-             baskets_per_partition: int = 20_000) -> DataFrame:
+             num_partitions: int = 1, longest_basket: int = 1000) -> DataFrame:
     """Skip-gram vectors over baskets: (item_idx, stock_code, vector), unit length.
 
-    The window spans a whole basket. One training partition per
-    ``baskets_per_partition`` baskets: small data trains in one and repeats
-    exactly, large data trains in parallel and averages per epoch.
+    The window spans ``longest_basket`` products: those further apart in a
+    basket (or in different parts of one, see :func:`baskets`) are no training
+    pair. With one training partition (the default, at every size) runs repeat
+    exactly; on a large ledger ask for more, which train in parallel and are
+    averaged per epoch.
     """
     fixed = cut_lineage(basket_rows.select("invoice", "part", "items").repartitionByRange("invoice", "part").sortWithinPartitions("invoice", "part"))
-    n = fixed.count()
     model = Word2Vec(
-        inputCol="items", outputCol="v", vectorSize=dim, windowSize=1000, minCount=min_count, maxIter=epochs,
-        numPartitions=max(1, -(-n // baskets_per_partition)), maxSentenceLength=1000, seed=seed,
+        inputCol="items", outputCol="v", vectorSize=dim, windowSize=longest_basket, minCount=min_count, maxIter=epochs,
+        numPartitions=num_partitions, maxSentenceLength=longest_basket, seed=seed,
     ).fit(fixed)
     vectors = model.getVectors().select(F.col("word").alias("stock_code"), vector_to_array("vector").alias("raw"))
     return items.join(vectors, "stock_code").select("item_idx", "stock_code", unit(F.col("raw")).alias("vector"))
@@ -119,7 +121,7 @@ def purchase_weights(observation: DataFrame, items: DataFrame, cutoff: datetime,
     """Sum of 0.5^(days/half_life) and the line count per (customer, item)."""
     age = days_before(cutoff, "invoice_date").cast("double") / F.lit(half_life)
     return with_item_index(observation.select("customer_id", "stock_code", "invoice_date"), items).groupBy("customer_id", "item_idx").agg(
-        F.round(F.sum(F.pow(F.lit(0.5), age)), WEIGHT_DECIMALS).alias("weight"), F.count(F.lit(1)).alias("lines_bought")
+        F.sum(F.pow(F.lit(0.5), age)).alias("weight"), F.count(F.lit(1)).alias("lines_bought")
     )
 
 
@@ -193,7 +195,7 @@ def copurchase(observation: DataFrame, items: DataFrame, cell: int = 512) -> Dat
         right = pairs.withColumnRenamed("item_idx", "item_j")
         joined = left.join(right, "invoice").filter(F.col("item_i") < F.col("item_j"))
     else:
-        tagged = salted_join(pairs, large, "invoice", "left").withColumn("groups", F.coalesce("groups", F.lit(1))).withColumn(
+        tagged = salted_join(pairs, large, "invoice", "left", unique=True).withColumn("groups", F.coalesce("groups", F.lit(1))).withColumn(
             "own", F.pmod(F.xxhash64("item_idx"), F.col("groups")).cast("int")
         )
         spread = F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
@@ -272,8 +274,65 @@ def owned_copurchase(weights: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.groupBy("customer_id", F.col("item_j").alias("item_idx")).agg(F.sum("n_baskets").alias("co_score"))
 
 
+def wanted_copurchase(weights: DataFrame, pairs: DataFrame, candidates: DataFrame | None = None, k: int = TOP_K,
+                      customers_per_chunk: int = 16_384, pairs_per_chunk: int = 2_000_000) -> DataFrame:
+    """The rows of :func:`owned_copurchase` that ranking reads, without the rest: (customer_id, item_idx, co_score).
+
+    Kept are the scores of ``candidates`` and, per customer, the best ``k``
+    items of each item chunk, of all and of those not owned (ties by item), so
+    the best ``k`` overall are among them. Customers and scored items are hashed
+    into chunks; a cell holds the owned items of its customers and the pairs of
+    its items, sums a customer's columns in one dense row, and returns only what
+    is kept. Nothing of the size customers x items is stored or shuffled.
+    """
+    mirror = mirrored(pairs)
+    n_customers, n_pairs = weights.select("customer_id").distinct().count(), 2 * pairs.count()
+    p = max(1, -(-n_customers // customers_per_chunk), min(weights.sparkSession.sparkContext.defaultParallelism, n_customers // 64))
+    q = max(1, -(-n_pairs // pairs_per_chunk))
+    chunk = F.pmod(F.xxhash64(F.col("item_idx").cast("int")), F.lit(q)).cast("int")
+    owned = weights.groupBy("customer_id").agg(F.collect_list("item_idx").alias("owned")).withColumn(
+        "_q", F.explode(F.sequence(F.lit(0), F.lit(q - 1)))
+    )
+    if candidates is None:
+        rows = owned.withColumn("wanted", F.array().cast("array<int>"))
+    else:
+        wanted = candidates.select("customer_id", "item_idx", chunk.alias("_q")).groupBy("customer_id", "_q").agg(F.collect_set("item_idx").alias("wanted"))
+        rows = owned.join(wanted, ["customer_id", "_q"], "left").withColumn("wanted", F.coalesce("wanted", F.array().cast("array<int>")))
+    rows = rows.withColumn("_p", F.pmod(F.xxhash64("customer_id"), F.lit(p)).cast("int"))
+    columns = mirror.withColumnRenamed("item_j", "item_idx").withColumn("_rq", chunk).withColumn("_rp", F.explode(F.sequence(F.lit(0), F.lit(p - 1))))
+    id_type = dict(weights.dtypes)["customer_id"]
+
+    def best(scores: np.ndarray) -> np.ndarray:
+        """Places of the best k positive scores, ties by place."""
+        if k < len(scores):
+            places = np.flatnonzero(scores >= max(np.partition(scores, -k)[-k], 1))
+        else:
+            places = np.flatnonzero(scores > 0)
+        return places[np.argsort(-scores[places], kind="stable")[:k]]
+
+    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            right = right.sort_values("item_i", kind="stable")
+            item, column = np.unique(right["item_idx"].to_numpy(), return_inverse=True)
+            start, n = right["item_i"].to_numpy(), right["n_baskets"].to_numpy(float)
+            for customer, own, asked in zip(left["customer_id"], left["owned"], left["wanted"]):
+                own = np.asarray(own)
+                lo, hi = np.searchsorted(start, own, "left"), np.searchsorted(start, own, "right")
+                scores = np.zeros(len(item))
+                for a, b in zip(lo, hi):  # an item's columns are distinct
+                    scores[column[a:b]] += n[a:b]
+                fresh = np.where(np.isin(item, own), 0, scores)
+                places = np.concatenate([best(scores), best(fresh), np.flatnonzero(np.isin(item, np.asarray(asked, int)))])
+                places = np.unique(places[scores[places] > 0])
+                found.append(pd.DataFrame({"customer_id": customer, "item_idx": item[places], "co_score": scores[places].astype("int64")}))
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"customer_id": [], "item_idx": [], "co_score": []})
+
+    return rows.groupBy("_p", "_q").cogroup(columns.groupBy("_rp", "_rq")).applyInPandas(cell, f"customer_id {id_type}, item_idx int, co_score long")
+
+
 def candidate_copurchase(candidates: DataFrame, scores: DataFrame) -> DataFrame:
-    """Adds copurchase = log1p(score) and its rank within the customer. ``scores``: owned_copurchase."""
+    """Adds copurchase = log1p(score) and its rank within the customer. ``scores``: wanted_copurchase of the candidates."""
     order = Window.partitionBy("customer_id").orderBy(F.desc("_co"), F.asc("item_idx"))
     return (
         candidates.join(scores, ["customer_id", "item_idx"], "left")
@@ -296,7 +355,7 @@ def candidate_item_facts(candidates: DataFrame, stats: DataFrame) -> DataFrame:
 
 def candidate_history(candidates: DataFrame) -> DataFrame:
     """Ownership signals. ``times_bought_before`` repeats the 0/1 flag; the line count is its own column."""
-    bought = (F.col("weight_before") > 0).cast("int")
+    bought = (F.col("lines_bought_before") > 0).cast("int")
     return candidates.withColumns({"bought_before": bought, "times_bought_before": bought})
 
 
@@ -366,11 +425,12 @@ def baseline_popular(customers: DataFrame, popular: DataFrame, k: int = TOP_K) -
 
 
 def baseline_repeat(weights: DataFrame, k: int = TOP_K) -> DataFrame:
-    return top_k(weights, k, "weight")
+    """Most bought, recent first; weights equal to ten significant digits are ties, broken by item."""
+    return top_k(weights.withColumn("_digits", F.round(F.log10("weight"), 10)), k, "_digits")
 
 
 def baseline_copurchase(weights: DataFrame, scores: DataFrame, n_items: int, k: int = TOP_K, exclude_own: bool = False) -> DataFrame:
-    """Items most often bought together with what the customer owns. ``scores``: owned_copurchase.
+    """Items most often bought together with what the customer owns. ``scores``: wanted_copurchase (or all of owned_copurchase).
 
     Short lists are filled with the lowest-numbered items that have no score
     (and are not owned, when own items are excluded).

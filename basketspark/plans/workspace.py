@@ -192,9 +192,10 @@ class Workspace:
     def copurchase(self) -> DataFrame:
         return self.table("copurchase", lambda: recommend.copurchase(self.train.observation, self.items()))
 
-    def co_scores(self, name: str) -> DataFrame:
-        """Co-purchase score of every item reachable from what a customer owns."""
-        return self.table(f"co_scores_{name}", lambda: recommend.owned_copurchase(self.weights(name), self.copurchase()))
+    def co_scores(self, name: str, space: str | None = None) -> DataFrame:
+        """Co-purchase scores of each customer's best items and, with a ``space``, of all candidates found in it."""
+        return self.table(f"co_scores_{name}_{space}", lambda: recommend.wanted_copurchase(
+            self.weights(name), self.copurchase(), self.candidates(name, space) if space else None))
 
     def item_stats(self, name: str) -> DataFrame:
         return self.table(f"item_stats_{name}", lambda: recommend.item_stats(self.snapshots[name].observation, self.items()))
@@ -219,7 +220,7 @@ class Workspace:
         """Candidates with all ranking signals and their label."""
         return self.table(f"featured_{name}_{space}", lambda: recommend.label_candidates(recommend.candidate_features(
             self.candidates(name, space), self.customer_vectors(name, space), self.vectors(space), self.weights(name),
-            self.item_stats(name), self.co_scores(name), self.features(name)), self.truth(name)))
+            self.item_stats(name), self.co_scores(name, space), self.features(name)), self.truth(name)))
 
     def pointwise(self):
         return self.model("pointwise", lambda: recommend.fit_pointwise(

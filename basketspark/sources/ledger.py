@@ -62,7 +62,10 @@ def normalise(df: DataFrame) -> DataFrame:
     """Rename variant headers, insist on all eight columns, strip text, coerce types.
 
     Unparsable quantities, prices, ids and dates become null and are removed
-    (and counted) by cleaning. Quantities are whole units.
+    (and counted) by cleaning. So do numbers the ledger's types cannot hold:
+    quantities are whole units, and a price must fit its decimal type without
+    changing by more than a millionth. None is cut to another number;
+    :func:`rejected_numbers` names how many there are.
     """
     df = df.withColumnsRenamed({k: v for k, v in HEADER_NAMES.items() if k in df.columns})
     missing = [c for c in LEDGER_COLUMNS if c not in df.columns]
@@ -75,17 +78,36 @@ def normalise(df: DataFrame) -> DataFrame:
         text["invoice"].alias("invoice"),
         text["stock_code"].alias("stock_code"),
         text["description"].alias("description"),
-        _number("quantity").try_cast("int").alias("quantity"),
+        _whole_quantity().alias("quantity"),
         F.coalesce(
             stamp.try_cast("timestamp_ntz"),
             F.try_to_timestamp(stamp, F.lit("M/d/yyyy H:mm")).cast("timestamp_ntz"),
         ).alias("invoice_date"),
-        F.btrim(F.col("price").cast("string"), F.lit(BLANKS)).try_cast(PRICE_TYPE).alias("price"),
+        _exact_price().alias("price"),
         F.coalesce(customer.try_cast("bigint"), _number("customer_id").try_cast("bigint")).alias("customer_id"),
         text["country"].alias("country"),
     )
 
 
+def _whole_quantity():
+    q = _number("quantity")
+    return F.when(q == F.floor(q), q.try_cast("int"))
+
+
+def _exact_price():
+    p, kept = _number("price"), F.btrim(F.col("price").cast("string"), F.lit(BLANKS)).try_cast(PRICE_TYPE)
+    return F.when(F.abs(kept.cast("double") - p) <= 1e-6 * F.abs(p), kept)
+
+
+def rejected_numbers(df: DataFrame) -> DataFrame:
+    """One row: how many quantities and prices of a raw ledger are numbers that ``normalise`` cannot keep as they are."""
+    df = df.withColumnsRenamed({k: v for k, v in HEADER_NAMES.items() if k in df.columns})
+    return df.agg(
+        F.count_if(_number("quantity").isNotNull() & _whole_quantity().isNull()).alias("rejected_quantities"),
+        F.count_if(_number("price").isNotNull() & _exact_price().isNull()).alias("rejected_prices"),
+    )
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None when nothing has been written there."""
     try:

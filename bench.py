@@ -75,7 +75,8 @@ def main() -> None:
     median("item_stats", lambda: consume(recommend.item_stats(ws.test.observation, ws.items())))
     median("copurchase", lambda: consume(recommend.copurchase(ws.train.observation, ws.items())))
     ws.copurchase(), ws.customer_vectors("test", "external")
-    median("cand_copurchase", lambda: consume(recommend.owned_copurchase(ws.weights("test"), ws.copurchase())))
+    candidates = ws.candidates("test", "external")
+    median("cand_copurchase", lambda: consume(recommend.wanted_copurchase(ws.weights("test"), ws.copurchase(), candidates)))
     median("retrieve_top_n", lambda: consume(recommend.retrieve_top_n(ws.customer_vectors("test", "external"), ws.vectors("external"))))
     median("rank_metrics", lambda: consume(metrics.rank_metrics(recommend.baseline_repeat(ws.weights("test")), ws.truth("test"))))
 

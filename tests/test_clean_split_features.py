@@ -133,3 +133,13 @@ def test_timeline_keeps_last_eight_past_orders(ws):
     t = split.customer_timeline(ws.train)
     past = t.filter("period = 'past'").groupBy("customer_id").agg(F.count(F.lit(1)).alias("shown"), F.max("n_past").alias("n"))
     assert past.filter(F.col("shown") != F.least(F.col("n"), F.lit(8))).count() == 0
+
+
+def test_numbers_the_ledger_cannot_hold_are_named_not_changed(spark):
+    from basketspark.sources import ledger
+
+    numbers = [("3", "2.55"), ("0.5", "1"), ("2.7", "1"), ("-4", "250000000"), ("1e1", "0.00004"), ("x", "0"), (None, None), ("6", "0.0012"), ("3", "2.5500000000000003")]
+    raw = spark.createDataFrame([(str(i), "A", "d", q, "2011-01-01 10:00", p, "1", "UK") for i, (q, p) in enumerate(numbers)], ledger.LEDGER_COLUMNS)
+    got = {r["invoice"]: (r["quantity"], None if r["price"] is None else float(r["price"])) for r in ledger.normalise(raw).collect()}
+    assert got == {"0": (3, 2.55), "1": (None, 1), "2": (None, 1), "3": (-4, None), "4": (10, None), "5": (None, 0), "6": (None, None), "7": (6, 0.0012), "8": (3, 2.55)}
+    assert tuple(ledger.rejected_numbers(raw).first()) == (2, 2)

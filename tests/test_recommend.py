@@ -81,6 +81,40 @@ def test_owned_copurchase_broadcast_and_shuffle_paths_agree(families, items, mon
     assert {tuple(r) for r in recommend.owned_copurchase(w, pairs).collect()} == small
 
 
+@pytest.mark.parametrize("chunk", [40, 2_000_000])
+def test_wanted_copurchase_keeps_the_best_and_the_asked_scores(spark, families, items, chunk):
+    w = recommend.purchase_weights(families, items, datetime(2011, 6, 1)).cache()
+    w = w.filter("item_idx % 3 > 0").unionByName(w.limit(1).withColumn("customer_id", F.lit(3).cast("bigint"))).cache()
+    pairs = recommend.copurchase(families, items).cache()
+    full = {(r["customer_id"], r["item_idx"]): r["co_score"] for r in recommend.owned_copurchase(w, pairs).collect()}
+    own = {(r["customer_id"], r["item_idx"]) for r in w.collect()}
+    asked = spark.range(1, 4).select(F.col("id").alias("customer_id"), F.explode(F.array(*[F.lit(i) for i in range(0, 30, 4)])).alias("item_idx"))
+    rows = recommend.wanted_copurchase(w, pairs, asked, k=4, pairs_per_chunk=chunk).collect()
+    got = {(r["customer_id"], r["item_idx"]): r["co_score"] for r in rows}
+    assert len(got) == len(rows) and all(full[key] == n for key, n in got.items())
+    assert {(r[0], r[1]) for r in asked.collect()} & full.keys() <= got.keys()
+    for c in (1, 2, 3):
+        for left_out in (set(), own):
+            best = sorted((key for key in full if key[0] == c and key not in left_out), key=lambda x: (-full[x], x[1]))[:4]
+            assert set(best) <= got.keys()
+    assert recommend.wanted_copurchase(w, pairs.limit(0)).count() == 0 == recommend.wanted_copurchase(w.limit(0), pairs).count()
+
+
+def test_item_bought_ten_years_ago_is_still_owned(spark):
+    cut = datetime(2011, 4, 1)
+    rows = [(str(n), code, "d", 1, at, Decimal("1"), 1, "UK") for code, at in (("A", datetime(2001, 4, 1)), ("B", datetime(2001, 3, 1)), ("C", datetime(2011, 3, 1))) for n in range(5)]
+    obs = spark.createDataFrame(rows, LEDGER_SCHEMA)
+    items = recommend.item_index(obs)
+    w = recommend.purchase_weights(obs, items, cut)
+    assert all(r["weight"] > 0 for r in w.collect())
+    code = {r["item_idx"]: r["stock_code"] for r in items.collect()}
+    assert [code[r["item_idx"]] for r in recommend.baseline_repeat(w).orderBy("rank").collect()] == ["C", "A", "B"]
+    none = spark.createDataFrame([], "customer_id bigint, item_idx int, similarity double")
+    best = spark.createDataFrame([(0, 1)], "item_idx int, rank int")
+    kept = recommend.candidate_history(recommend.build_candidates(w, none, best))
+    assert kept.count() == kept.filter("bought_before = 1").count() == 3
+
+
 def test_candidates_hold_everything_once(ws):
     c = ws.candidates("test", "external")
     assert c.count() == c.select("customer_id", "item_idx").distinct().count()
@@ -125,5 +159,11 @@ def test_listwise_ranker_learns_the_useful_signal(spark):
             rows.append((c, i, float(i == good) + rng.normal(0, .2), float(rng.random()), int(i == good), c % 5 == 0))
     df = spark.createDataFrame(rows, "customer_id bigint, item_idx int, a double, b double, label int, is_val boolean")
     model = boosting.fit_listwise(df, ["a", "b"], trees=4, depth=2)
+    row = df.select(boosting.tree_vector(["a", "b"]).alias("x")).first()["x"]
+    first = boosting.predict_listwise(model, df.limit(1), ["a", "b"])
+    assert first.first()["score"] == pytest.approx(sum(step * tree.predict(row) for tree, step in model))
+    longer = boosting.predict_listwise(model * 20, df.limit(1), ["a", "b"])
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(longer) == size(first) and longer.first()["score"] == pytest.approx(20 * first.first()["score"])
     top = recommend.top_k(boosting.predict_listwise(model, df, ["a", "b"]), 1).join(df, ["customer_id", "item_idx"])
     assert top.agg(F.avg("label")).first()[0] > 0.9

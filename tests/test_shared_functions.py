@@ -65,6 +65,19 @@ def test_salted_join_keeps_every_row_of_a_heavy_key(spark):
     assert looked.count() == big.join(other, "k").count()
 
 
+def test_salted_join_splits_a_key_that_is_light_left_and_heavy_right(spark):
+    big = spark.createDataFrame([(7, i) for i in range(12)] + [(8, 0), (9, 1)], "k int, id int")
+    other = spark.range(3000).select(F.when(F.col("id") < 2900, 7).otherwise(8).cast("int").alias("k"), F.col("id").alias("v"))
+    want = {tuple(r) for r in big.join(other, "k").select("k", "id", "v").collect()}
+    for limits in ({"rows_per_salt": 500}, {"pairs_per_task": 1000}):
+        joined = joins.salted_join(big, other, "k", **limits)
+        got = [tuple(r) for r in joined.select("k", "id", "v").collect()]
+        assert set(got) == want and len(got) == len(want)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "_band" in plan and "_strip" in plan
+    assert joins.salted_join(big, other, "k", "left", rows_per_salt=5, unique=True).count() == len(want) + 1
+
+
 @pytest.mark.parametrize("chunks", [(64, 50), (4096, 8192)])
 def test_top_n_equals_brute_force_with_ties(spark, chunks):
     rng = np.random.default_rng(2)

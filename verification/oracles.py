@@ -14,6 +14,7 @@ IS_RETURN = "(upper(invoice) LIKE 'C%' OR quantity <= 0)"
 
 # name -> (text, names it reads)
 CTES: dict[str, tuple[str, list[str]]] = {}
+COSTLY = ("w_test", "vec", "cvec", "retrieved", "cand")  # read several times by what follows them, computed once
 ORACLES: dict[str, str] = {}
 
 
@@ -32,7 +33,7 @@ def sql(name: str, body: str, *needs: str) -> None:
 
     for n in needs:
         visit(n)
-    head = ",\n".join(f"{n} AS ({CTES[n][0]})" for n in order)
+    head = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in COSTLY else ''}({CTES[n][0]})" for n in order)
     ORACLES[name] = f"WITH {head}\n{body}" if order else body
 
 
@@ -374,7 +375,7 @@ sql("gg_population_mean", f"SELECT round({G.population_mean}, 6) AS model_mean,
 cte("items", """SELECT CAST(row_number() OVER (ORDER BY n_lines DESC, stock_code) - 1 AS INTEGER) AS item_idx, stock_code, n_lines
   FROM (SELECT stock_code, count(*) AS n_lines FROM obs_train GROUP BY 1 HAVING count(*) >= 5)""", "obs_train")
 for s in ("train", "test"):
-    cte(f"w_{s}", f"""SELECT customer_id, item_idx, round(sum(pow(0.5, datesub('day', invoice_date, cutoff) / CAST(90.0 AS DOUBLE))), 9) AS weight, count(*) AS lines_bought
+    cte(f"w_{s}", f"""SELECT customer_id, item_idx, sum(pow(0.5, datesub('day', invoice_date, cutoff) / CAST(90.0 AS DOUBLE))) AS weight, count(*) AS lines_bought
       FROM obs_{s} JOIN items USING (stock_code) GROUP BY 1, 2""", f"obs_{s}", "items")
     cte(f"stats_{s}", f"""
       SELECT item_idx, i.stock_code, coalesce(CAST(sum(quantity) AS BIGINT), 0) AS units, count(DISTINCT customer_id) AS buyers, count(DISTINCT invoice) AS baskets,
@@ -424,7 +425,7 @@ sql("corpus_stats", """
 sql("item_vectors", """SELECT vec_id, CAST(pos - 1 AS INTEGER) AS pos, round(v[pos] / n, 6) AS value
   FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM embeddings), range(1, 65) r(pos)""")
 sql("item_index", "SELECT item_idx, stock_code, n_lines FROM items", "items")
-sql("purchase_weights", "SELECT customer_id, item_idx, weight, lines_bought FROM w_test", "w_test")
+sql("purchase_weights", "SELECT customer_id, item_idx, CASE WHEN weight > 0 THEN round(log10(weight), 8) ELSE 0.0 END AS weight, lines_bought FROM w_test", "w_test")
 sql("customer_vectors", "SELECT customer_id, CAST(pos - 1 AS INTEGER) AS pos, round(v[pos], 6) AS value FROM cvec, range(1, 65) r(pos)", "cvec")
 sql("retrieve_top_n", "SELECT customer_id, item_idx, similarity, CAST(rank AS INTEGER) AS rank FROM retrieved", "retrieved")
 sql("item_stats", "SELECT item_idx, stock_code, units, buyers, baskets, round(price, 6) AS price, round(log_units, 6) AS log_units, round(log_buyers, 6) AS log_buyers FROM stats_test", "stats_test")
@@ -436,15 +437,15 @@ sql("candidates", "SELECT customer_id, item_idx, from_retrieval, from_history, f
 sql("cand_emb_similarity", "SELECT customer_id, item_idx, emb_similarity FROM cand_sim", "cand_sim")
 sql("cand_emb_rank", "SELECT customer_id, item_idx, emb_rank FROM cand_sim", "cand_sim")
 sql("cand_popularity", "SELECT customer_id, item_idx, round(log_units, 6) AS log_units, round(log_buyers, 6) AS log_buyers, round(price, 6) AS price FROM cand JOIN stats_test USING (item_idx)", "cand", "stats_test")
-HIST = "CAST(weight_before > 0 AS INTEGER) AS bought_before, CAST(weight_before > 0 AS INTEGER) AS times_bought_before"
-sql("cand_history", f"SELECT customer_id, item_idx, weight_before, {HIST}, lines_bought_before FROM cand", "cand")
+HIST = "CAST(lines_bought_before > 0 AS INTEGER) AS bought_before, CAST(lines_bought_before > 0 AS INTEGER) AS times_bought_before"
+sql("cand_history", f"SELECT customer_id, item_idx, CASE WHEN weight_before > 0 THEN round(log10(weight_before), 8) ELSE 0.0 END AS weight_before, {HIST}, lines_bought_before FROM cand", "cand")
 sql("cand_copurchase", "SELECT customer_id, item_idx, round(copurchase, 6) AS copurchase FROM cand_co", "cand_co")
 sql("cand_copurchase_rank", "SELECT customer_id, item_idx, copurchase_rank FROM cand_co", "cand_co")
 sql("cand_price_fit", "SELECT customer_id, item_idx, round(price / avg_price, 6) AS price_vs_customer_avg FROM cand JOIN stats_test USING (item_idx) JOIN cust_price USING (customer_id)", "cand", "stats_test", "cust_price")
 sql("cand_customer_context", "SELECT customer_id, item_idx, frequency AS cust_frequency, recency AS cust_recency FROM cand JOIN feat_test USING (customer_id)", "cand", "feat_test")
 sql("candidate_features", f"""
   SELECT customer_id, item_idx, emb_similarity, emb_rank, round(log_units, 9) AS log_units, round(log_buyers, 9) AS log_buyers, round(price, 9) AS price,
-         {HIST.replace("weight_before", "s.weight_before")}, s.weight_before, round(copurchase, 9) AS copurchase, copurchase_rank,
+         {HIST.replace("lines_bought_before", "s.lines_bought_before")}, CASE WHEN s.weight_before > 0 THEN round(log10(s.weight_before), 8) ELSE 0.0 END AS weight_before, round(copurchase, 9) AS copurchase, copurchase_rank,
          round(price / avg_price, 9) AS price_vs_customer_avg, frequency AS cust_frequency, recency AS cust_recency
   FROM cand_sim s JOIN cand_co c USING (customer_id, item_idx) JOIN stats_test USING (item_idx) JOIN cust_price USING (customer_id) JOIN feat_test USING (customer_id)""",
     "cand_sim", "cand_co", "stats_test", "cust_price", "feat_test")
@@ -461,7 +462,7 @@ cte("fixed_top", """
 sql("top_k", "SELECT customer_id, item_idx, CAST(rank AS INTEGER) AS rank FROM fixed_top", "fixed_top")
 sql("truth_pairs", "SELECT customer_id, item_idx FROM truth_test", "truth_test")
 sql("owned_pairs", "SELECT customer_id, item_idx FROM w_test", "w_test")
-cte("r_repeat", """SELECT customer_id, item_idx, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY weight DESC, item_idx) AS rank FROM w_test) WHERE rank <= 12""", "w_test")
+cte("r_repeat", """SELECT customer_id, item_idx, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY round(log10(weight), 10) DESC, item_idx) AS rank FROM w_test) WHERE rank <= 12""", "w_test")
 cte("r_stage1", "SELECT customer_id, item_idx, CAST(rank AS INTEGER) AS rank FROM retrieved WHERE rank <= 12", "retrieved")
 cte("pop_all", "SELECT customer_id, item_idx, rank FROM (SELECT DISTINCT customer_id FROM w_test), pop WHERE rank <= 200", "w_test", "pop")
 cte("r_popular", "SELECT customer_id, item_idx, CAST(rank AS INTEGER) AS rank FROM pop_all WHERE rank <= 12", "pop_all")

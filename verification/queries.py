@@ -55,6 +55,11 @@ def query(name: str):
 NULLABLE_INTEGERS = {"segment_id"}
 
 
+def with_digits(df: DataFrame, weight: str) -> DataFrame:
+    """A weight of any magnitude as its decimal logarithm to eight places (0 when the weight is 0)."""
+    return df.withColumn(weight, F.when(F.col(weight) > 0, F.round(F.log10(weight), 8)).otherwise(0.0))
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles rounded for comparison across engines, decimals as doubles, dates as text."""
     out = []
@@ -797,7 +802,7 @@ def _(ws, spark, folder):
 
 @query("purchase_weights")
 def _(ws, spark, folder):
-    return rounded(recommend.purchase_weights(ws.test.observation, ws.items(), ws.test.cutoff), 9)
+    return with_digits(recommend.purchase_weights(ws.test.observation, ws.items(), ws.test.cutoff), "weight")
 
 
 @query("customer_vectors")
@@ -859,19 +864,19 @@ def _(ws, spark, folder):
 
 @query("cand_history")
 def _(ws, spark, folder):
-    return rounded(recommend.candidate_history(ws.candidates("test", EXT)).select(
-        "customer_id", "item_idx", "weight_before", "bought_before", "times_bought_before", "lines_bought_before"), 9)
+    return with_digits(recommend.candidate_history(ws.candidates("test", EXT)).select(
+        "customer_id", "item_idx", "weight_before", "bought_before", "times_bought_before", "lines_bought_before"), "weight_before")
 
 
 @query("cand_copurchase")
 def _(ws, spark, folder):
-    return rounded(recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test")).select(
+    return rounded(recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test", EXT)).select(
         "customer_id", "item_idx", "copurchase"))
 
 
 @query("cand_copurchase_rank")
 def _(ws, spark, folder):
-    return recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test")).select(
+    return recommend.candidate_copurchase(ws.candidates("test", EXT), ws.co_scores("test", EXT)).select(
         "customer_id", "item_idx", "copurchase_rank")
 
 
@@ -888,9 +893,10 @@ def _(ws, spark, folder):
 
 @query("candidate_features")
 def _(ws, spark, folder):
-    return rounded(recommend.candidate_features(
+    rows = recommend.candidate_features(
         ws.candidates("test", EXT), ws.customer_vectors("test", EXT), ws.vectors(EXT), ws.weights("test"), ws.item_stats("test"),
-        ws.co_scores("test"), ws.features("test")), 9)
+        ws.co_scores("test", EXT), ws.features("test"))
+    return rounded(with_digits(rows, "weight_before"), 9)
 
 
 @query("candidate_labels")
