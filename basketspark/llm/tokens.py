@@ -2,8 +2,10 @@
 
 A text is cut at single spaces and line feeds between two non-space characters. For both kinds of vocabulary
 such a cut is also a border for the tokenizer itself, so the ids of the parts, joined, are the ids of the whole
-text; each new part is encoded once by the ``tokenizers`` library, and repeated parts are looked up. The memory
-has two generations of ``limit`` entries (about 250 bytes each), so a worker's memory stays bounded.
+text; each new part is encoded once by the ``tokenizers`` library, and repeated parts are looked up. New parts go
+to a byte-level vocabulary several at a time, with line feeds between them; where the ids hold another number of
+line feeds than were set, and for other vocabularies, the parts are encoded one by one. The memory has two
+generations of ``limit`` entries (about 250 bytes each), so a worker's memory stays bounded.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import re
 from array import array
 from itertools import chain
 
+MARK = "\n"
 BORDER = re.compile(r"(?<=\S) (?=\S)")
 RARE = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -38,6 +41,34 @@ class Encoder:
         one = [t.encode(x, add_special_tokens=False).ids for x in ("a", "b", "a b")]
         self.space_is_word_start = one[2] != one[0] + one[1]
         self.tokenizer, self.limit, self.known, self.old = t, limit, {}, {}
+        mark = t.encode(MARK, add_special_tokens=False).ids
+        self.mark_id = mark[0] if self.space_is_word_start and len(mark) == 1 else None  # elsewhere a line feed has no id
+
+    def joins(self, part: str) -> bool:
+        """Whether a part may stand between marks: no white space at its ends but one space before a word."""
+        if self.mark_id is None or not part or part[-1].isspace():
+            return False
+        return not part[0].isspace() or (part[0] == " " and not part[1].isspace())
+
+    def _learn(self, new: list[str], at_once: int = 16) -> None:
+        """Encode new parts into the memory."""
+        known, alone, joined = self.known, [], []
+        for part in new:
+            (joined if self.joins(part) else alone).append(part)
+        groups = [joined[i : i + at_once] for i in range(0, len(joined), at_once)]
+        for own, e in zip(groups, self.tokenizer.encode_batch_fast([MARK.join(g) for g in groups], add_special_tokens=False)):
+            ids = e.ids
+            if ids.count(self.mark_id) != len(own) - 1:
+                alone += own
+                continue
+            raw, lo = array("I", ids).tobytes(), 0
+            for part in own[:-1]:
+                hi = ids.index(self.mark_id, lo)
+                known[part] = raw[4 * lo : 4 * hi]
+                lo = hi + 1
+            known[own[-1]] = raw[4 * lo :]
+        for part, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            known[part] = array("I", e.ids).tobytes()
 
     def parts(self, text: str) -> list[str]:
         if not self.space_is_word_start:
@@ -66,8 +97,7 @@ class Encoder:
                 known[part] = old[part]
             else:
                 new.append(part)
-        for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[part] = array("I", e.ids).tobytes()
+        self._learn(new)
         whole = {t: b"".join(map(known.__getitem__, parts)) for t, parts in cut.items()}
         if len(known) > self.limit:
             self.old, self.known = known, {}

@@ -40,6 +40,9 @@ def test_encoder_equals_whole_text_encoding(file):
     plain = Tokenizer.from_file(public_tokenizers.path(file))
     plain.encode_special_tokens = True
     texts = [*ODD, *[t for (t,) in given("documents", "text")]]
+    rng = np.random.default_rng(4)
+    pool = ["a", "B", "'s", "don't", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "\u2003", "\u0301", "\x1c", "\x85", "漢字", "3.5", "!", "</s>", "x\n", "\r\n", "İ"]
+    texts = [*texts, *("".join(rng.choice(pool) + " " * int(rng.integers(0, 2)) for _ in range(rng.integers(1, 30))) for _ in range(1500))]
     for text, ids in zip(texts, tokens.Encoder(public_tokenizers.path(file), limit=50).ids(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
