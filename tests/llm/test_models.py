@@ -120,6 +120,19 @@ def test_neighbour_odd_rows(spark):
     assert neighbours.nearest(vectors.filter("false"), F.lit(True)).count() == 0
 
 
+def test_neighbour_recall_with_unequal_norms(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(4000, 32))
+    v = v / np.linalg.norm(v, axis=1)[:, None] * rng.lognormal(0, 0.5, 4000)[:, None]
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(vectors, F.col("vec_id") % 40 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_neighbours(list(enumerate(v)), range(0, 4000, 40))
+    hits = sum(len(got[q] & {v for v, _ in want[q]}) for q in want)
+    assert set(got) == set(want) and hits >= 0.9 * 20 * len(want)
+
+
 def brute_components(texts, n, percent):
     sets = {d: decontaminate.real_shingles(words(t), n) for d, t in texts.items()}
     parent = {d: d for d in sets}
