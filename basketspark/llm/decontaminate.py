@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +93,16 @@ class ItemIndex:
         return [(i, size, shared) for i, size, shared in found if shared >= self.threshold * size]
 
 
+def sent_blocks(items: DataFrame, words_per_block: int) -> Iterator[Broadcast]:
+    """The items with a text as (item_id, text), broadcast in blocks of about ``words_per_block`` words; one at least."""
+    items = items.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
+    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    blocks = max(1, -(-total // words_per_block))
+    for k in range(blocks):
+        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield items.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
+
+
 def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8, words_per_block: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, item_shingles, shared_shingles, containment for every item that a document contains.
 
@@ -101,15 +112,9 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, threshold: fl
     ``items``: item_id, text. Items go to the tasks in blocks of about ``words_per_block`` words, each read against
     all documents, so neither side is shuffled and what is sent at once does not grow.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    items = items.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-total // words_per_block))
     found = []
-    for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        sent = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
+    for sent in sent_blocks(items, words_per_block):
 
         def search(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             index = ItemIndex(sent.value, n, threshold)
@@ -122,10 +127,30 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, threshold: fl
     return reduce(DataFrame.unionByName, found)
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the documents that contain an item; rows of null doc_id are judged by null as one document."""
-    found = Written(docs.sparkSession, "contaminated").keep(contained_items(docs, items, n, threshold).select(F.col("doc_id").alias("hit_id")).distinct(), "ids")
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("hit_id")), "left_anti")
+def holds_none(sent: Broadcast, n: int, threshold: float):
+    """A column function: whether a text contains no item of a block."""
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = ItemIndex(sent.value, n, threshold)
+        for batch in batches:
+            yield pd.Series([not index.search(t) for t in batch], dtype=bool)
+
+    return clean
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8, words_per_block: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows whose text contains an item; every row is judged by its own text, whatever its doc_id.
+
+    What one block of items leaves is written before the next, so a task holds one block.
+    """
+    written, last = Written(docs.sparkSession, "uncontaminated"), None
+    for k, sent in enumerate(sent_blocks(items, words_per_block)):
+        if last is not None:
+            docs = written.keep(last, f"left{k}")
+            written.drop(f"left{k - 1}")
+        last = docs.filter(holds_none(sent, n, threshold)("text"))
+    return last
 
 
 def contained_sql(n: int = 5, threshold: float = 0.8) -> str:

@@ -423,6 +423,26 @@ def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80) -
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each class: that of the smallest doc_id; rows that repeat it stay with it."""
-    kept = Written(docs.sparkSession, "kept").keep(near_duplicate_classes(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(kept, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    """``docs`` with one row of each class: one of the smallest doc_id there, even if that repeats.
+
+    Rows are judged one by one under a number of their own, so rows that share a doc_id but not a class do not touch
+    each other. Rows of null doc_id are in no class; of those with equal texts one stays, also if a row with a doc_id
+    has that text. Rows without words all stay.
+    """
+    written = Written(docs.sparkSession, "kept")
+    number = "row number"
+    while number in docs.columns:
+        number += "_"
+    numbered = written.keep(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    ids = numbered.select(F.col(number).alias("row"), F.col("doc_id").cast("long").alias("own_id"), "text")
+    rows, labels = set_classes(ids.filter("own_id IS NOT NULL").select(F.col("row").alias("doc_id"), "text"), words, percent)
+    rows = rows.withColumnRenamed("doc_id", "row")
+    first = F.min(F.struct("own_id", "row")).alias("first")
+    of_set = rows.filter("n > 0").join(ids.select("row", "own_id"), "row").groupBy("set_id").agg(F.min("own_id").alias("own_id"), F.min_by("row", F.struct("own_id", "row")).alias("row"))
+    of_class = of_set.join(labels, "set_id", "left").groupBy(F.coalesce("label", "set_id").alias("label")).agg(first).select("first.row")
+    nulls = ids.filter("own_id IS NULL").select("row", "text")
+    worded = F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    of_text = nulls.filter(worded).groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("row").alias("row")).select("row")
+    kept = of_class.unionByName(rows.filter("n = 0").select("row")).unionByName(of_text).unionByName(nulls.filter(~worded).select("row"))
+    kept = written.keep(kept.withColumnRenamed("row", "kept row"), "rows")
+    return numbered.join(kept, numbered[number] == kept["kept row"], "left_semi").drop(number)

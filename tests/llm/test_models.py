@@ -184,6 +184,13 @@ def test_near_duplicates_odd_rows(spark):
     assert near_duplicates.near_duplicate_classes(docs.filter("false")).count() == 0
 
 
+def test_deduplication_judges_rows(spark):
+    rows = [(3, "a b c"), (5, "a b c"), (5, "unique text"), (7, "p q r"), (7, "p q r"), (None, "u v w"), (None, "u v w"), (None, "x y z"), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(3, "a b c"), (5, "unique text"), (7, "p q r"), (None, "u v w"), (None, "x y z"), (None, ""), (None, "")]
+    assert sorted(map(tuple, near_duplicates.deduplicated(docs).collect()), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 102), (102, 101), (7, 7), (200, 201), (201, 200)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(links, "u long, v long")).collect()}

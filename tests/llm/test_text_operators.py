@@ -109,6 +109,16 @@ def test_containment_odd_rows_and_blocks(spark, docs, empty):
     assert decontaminate.without_contaminated(docs, table).count() == len(ODD) - 4
 
 
+def test_decontamination_judges_rows(spark):
+    rows = [(None, "one two three four five six"), (None, "clean text"), (None, None), (4, "seven eight nine ten eleven"), (4, "other clean text"), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    items = spark.createDataFrame([(1, "one two three four five six"), (2, "seven eight nine ten eleven")], "item_id long, text string")
+    want = sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+    for block in (2_000_000, 4):
+        out = decontaminate.without_contaminated(docs, items, words_per_block=block)
+        assert out.schema == docs.schema and sorted(map(tuple, out.collect()), key=str) == want
+
+
 def test_short_item_in_very_long_document(spark):
     rng = np.random.default_rng(1)
     words = [f"w{k}" for k in rng.integers(0, 5_000, 60_000)]
