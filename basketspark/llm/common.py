@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,26 @@ def _absolute(uri: str) -> str:
     return uri if "://" in uri else "file://" + uri.removeprefix("file:")
 
 
+def map_frames(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInPandas`` with exact 64-bit integers: a whole-number column that holds nulls arrives as ``Int64``, not as doubles."""
+    import pyarrow as pa
+
+    plain = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+    fields = [field.rsplit(" ", 1) for field in schema.split(", ")]
+    kind = {t: pa.list_(pa.field("element", plain[t[6:-1]])) if t.startswith("array<") else plain[t] for _, t in fields}
+    out = pa.schema([(name.strip("`"), kind[t]) for name, t in fields])
+
+    def frame(batch: pa.RecordBatch) -> pd.DataFrame:
+        exact = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
+        return pd.DataFrame({name: c.to_pandas(types_mapper=exact.get if c.null_count else None) for name, c in zip(batch.schema.names, batch.columns)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for result in fn(map(frame, batches)):
+            yield from pa.Table.from_pandas(result, out, preserve_index=False).combine_chunks().to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
 def text_crc32(text: Column) -> Column:
     """Unsigned crc32 of the UTF-8 bytes; null counts as empty."""
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).cast("bigint")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import decontaminate, language_model, licences, near_duplicates, neighbours, packing, quality, sharding, token_files, warc
+from basketspark.llm import decontaminate, language_model, licences, near_duplicates, neighbours, packing, phrases, quality, sharding, token_files, warc
 from basketspark.llm.common import id_remainder, new_folder, table
 
 
@@ -70,11 +70,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of two and three words of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"), least=10, share=50, first=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files)
+    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files, op12_phrases)
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontaminate.contained_sql(),
     "op7_licences": licences.scan_sql(),
+    "op12_phrases": phrases.collocations_sql(),
 }
