@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import decontaminate, language_model, licences, near_duplicates, neighbours, packing, phrases, quality, sharding, token_files, warc
+from basketspark.llm import decontaminate, hard_negatives, language_model, licences, near_duplicates, neighbours, packing, phrases, quality, sharding, token_files, warc
 from basketspark.llm.common import id_remainder, new_folder, table
 
 
@@ -75,12 +75,20 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"), least=10, share=50, first=2000)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files, op12_phrases)
+    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files, op12_phrases, op13_hard_negatives)
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontaminate.contained_sql(),
     "op7_licences": licences.scan_sql(),
     "op12_phrases": phrases.collocations_sql(),
+    "op13_hard_negatives": hard_negatives.hard_negatives_sql(),
 }
