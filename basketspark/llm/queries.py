@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import decontaminate, hard_negatives, language_model, licences, near_duplicates, neighbours, packing, phrases, quality, sharding, token_files, warc
+from basketspark.llm import decontaminate, hard_negatives, language_id, language_model, licences, near_duplicates, neighbours, packing, phrases, quality, sharding, token_files, warc
 from basketspark.llm.common import id_remainder, new_folder, table
 
 
@@ -70,6 +70,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those whose id's crc32 leaves another remainder than 1 by 3."""
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    out = language_id.identified(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits", "accepted")
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best collocations of two and three words of every language."""
     return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"), least=10, share=50, first=2000)
@@ -83,7 +90,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files, op12_phrases, op13_hard_negatives)
+    f.__name__: f for f in (op1_sharding, op2_decontamination, op3_neighbours, op4_language_model, op5_packing, op6_quality, op7_licences, op8_warc, op9_near_duplicates, op10_token_files, op11_language_id, op12_phrases, op13_hard_negatives)
 }
 
 ORACLES: dict[str, str] = {
