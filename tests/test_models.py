@@ -114,30 +114,16 @@ def test_boosting_explanations_add_up(spark, learnable):
     assert table["trees"]["pr_auc"] > table["trees"]["base_rate"] and table["rule"]["brier"] is None
 
 
-def test_patience_keeps_the_best_prefix(spark, learnable):
-    """More than a few rounds are kept, the best loss is kept, and the refitted model is the prefix."""
-    model = repurchase.fit_classifier(learnable)
-    losses, kept = model.held_out_losses, model.getNumTrees
-    assert kept > 10 and losses[kept - 1] == min(losses) and losses[kept - 1] < losses[0]
-    assert len(losses) - kept >= boosting.PATIENCE or len(losses) == model.rounds_allowed == 600
-    held = boosting.with_holdout(learnable).select(boosting.tree_vector(FEATURE_COLUMNS).alias("features"), F.col("repurchased").cast("double").alias("label"), "is_val")
-    again = model.evaluateEachIteration(held.filter("is_val"))
-    assert again == pytest.approx(losses[:kept])
-    one = repurchase.fit_classifier(learnable, trees=1)
-    pr = {name: repurchase.contender_table({"m": repurchase.score(m, learnable).withColumn("y", F.col("repurchased"))}).first()["pr_auc"] for name, m in (("all", model), ("one", one))}
-    assert pr["all"] > pr["one"]
-
-
 def test_contributions_equal_brute_force_shapley(spark, learnable):
     """Path-dependent Shapley values by enumerating feature subsets of a tiny ensemble."""
     model = repurchase.fit_classifier(learnable, trees=2)
-    leaves = boosting.ensemble_leaves(model, spark, 2.0)
-    x = np.array([[r[c] if r[c] is not None else -1.0 for c in FEATURE_COLUMNS] for r in learnable.limit(5).collect()])
+    leaves = boosting.ensemble_leaves(model)
+    x = np.array([[r[c] if r[c] is not None else math.nan for c in FEATURE_COLUMNS] for r in learnable.limit(5).collect()])
     phi, _ = boosting._leaf_effects(x, leaves, len(FEATURE_COLUMNS))
     used = sorted({f for _, path in leaves for f, *_ in path})
 
     def expectation(row, known):
-        return sum(v * math.prod(float(lo < row[f] <= hi) if f in known else share for f, lo, hi, share in path) for v, path in leaves)
+        return sum(v * math.prod(float(missing if math.isnan(row[f]) else lo < row[f] <= hi) if f in known else share for f, lo, hi, missing, share in path) for v, path in leaves)
 
     from itertools import combinations
     for row, got in zip(x, phi):

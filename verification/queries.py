@@ -24,8 +24,6 @@ FIXED_SPENDING = value.SpendParams(p=1.896, q=3.820, v=544.11)
 EFFECT_CENTRES = [300.0, 7.0, 600000.0, 90000.0, 1900.0, 25.0, 650.0, 90.0, 350.0, 26000.0, 0.5, 2.0, 50000.0]
 EFFECT_SCALES = [-251.3, 5.3, 400003.7, 70001.9, 907.1, 21.7, 503.3, 61.3, -307.1, 40009.3, 1.3, -3.1, -60013.1]
 
-# Both rankers stop here in these queries; their default of 500 rounds takes too long on one machine (see README).
-RANKER_ROUNDS = {"ranker": 44, "listwise": 44}
 
 _workspaces: dict[tuple[str, str], Workspace] = {}
 
@@ -35,7 +33,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _workspaces:
         _workspaces[key] = Workspace(
-            spark, lambda: ledger_from_orders(spark, folder), folder, trees=RANKER_ROUNDS,
+            spark, lambda: ledger_from_orders(spark, folder), folder,
             external_vectors=lambda items: vectors_from_embeddings(spark, folder, items),
         )
     return _workspaces[key]
@@ -537,11 +535,11 @@ def _(ws, spark, folder):
 @query("early_stopping")
 def _(ws, spark, folder):
     model = ws.classifier()
-    kept, losses = model.getNumTrees, model.held_out_losses
-    before = losses[kept - 2] if kept > 1 else None
+    kept, measured = model.n_trees, model.held_out
+    before = measured[kept - 2] if kept > 1 else None
     return rounded(ws.features("train").agg(
-        F.count(F.lit(1)).alias("customers"), F.lit(model.rounds_allowed).alias("trees_allowed"), F.lit(len(losses)).alias("trees_tried"),
-        F.lit(kept).alias("trees_kept"), F.lit(losses[kept - 1]).alias("best_loss"), F.lit(before).cast("double").alias("loss_one_round_earlier")))
+        F.count(F.lit(1)).alias("customers"), F.lit(model.rounds_allowed).alias("trees_allowed"), F.lit(len(measured)).alias("trees_tried"),
+        F.lit(kept).alias("trees_kept"), F.lit(measured[kept - 1]).alias("best_pr_auc"), F.lit(before).cast("double").alias("pr_auc_one_round_earlier")))
 
 
 @query("isotonic_calibration")
@@ -707,7 +705,7 @@ def _(ws, spark, folder):
     clf, reg = ws.hurdle()
     return ws.features("train").agg(
         F.count(F.lit(1)).alias("customers"), F.count_if(F.col("future_spend") > 0).alias("spenders"),
-        F.lit(clf.getNumTrees).alias("classifier_trees"), F.lit(reg.getNumTrees).alias("regressor_trees"))
+        F.lit(clf.n_trees).alias("classifier_trees"), F.lit(reg.n_trees).alias("regressor_trees"))
 
 
 @query("hurdle_predict")
