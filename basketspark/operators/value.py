@@ -305,12 +305,20 @@ def predict_regressor(model, features: DataFrame, log_target: bool = False) -> D
     return out.withColumn("p", F.greatest(value, F.lit(0.0))).drop("raw")
 
 
+def fit_hurdle_classifier(train: DataFrame, trees: int = 600):
+    """P(spends anything) on everyone."""
+    return boosting.fit_gbt_classifier(boosting.with_holdout(train), FEATURE_COLUMNS, (F.col("future_spend") > 0).cast("int"), trees)
+
+
+def fit_hurdle_regressor(train: DataFrame, trees: int = 2000):
+    """Log spend on spenders only."""
+    spenders = boosting.with_holdout(train).filter("future_spend > 0")
+    return boosting.fit_gbt_regressor(spenders, FEATURE_COLUMNS, F.log1p("future_spend"), trees)
+
+
 def fit_hurdle(train: DataFrame, clf_trees: int = 600, reg_trees: int = 2000):
-    """P(spends anything) on everyone, log spend on spenders only."""
-    held = boosting.with_holdout(train)
-    clf = boosting.fit_gbt_classifier(held, FEATURE_COLUMNS, (F.col("future_spend") > 0).cast("int"), clf_trees)
-    reg = boosting.fit_gbt_regressor(held.filter("future_spend > 0"), FEATURE_COLUMNS, F.log1p("future_spend"), reg_trees)
-    return clf, reg
+    """Both parts of the hurdle model."""
+    return fit_hurdle_classifier(train, clf_trees), fit_hurdle_regressor(train, reg_trees)
 
 
 def predict_hurdle(clf, reg, features: DataFrame) -> DataFrame:

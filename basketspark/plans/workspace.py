@@ -1,15 +1,15 @@
 """One run over one ledger: written intermediate tables and fitted models, built on first use.
 
-Every table with several consumers is written once to the shared scratch folder
+Every table with several consumers is written once to a store on shared storage
 and read back, so later stages get column pruning and filter pushdown, lineage
 stays short and a lost executor costs a re-read instead of a re-computation.
-Only small fitted objects (parameters, trees) are kept in memory.
+Fitted objects (parameters, trees) and metric rows are stored beside them under a
+digest of the ledger's content and the parameters, so a later session over the
+same ledger fits nothing again.
 """
 
 from __future__ import annotations
 
-import hashlib
-import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.operators import boosting, clean, features, metrics, recommend, repurchase, segment, split, value
-from basketspark.session import scratch_dir
+from basketspark.plans.store import ArtefactStore, artefact_digest, default_store
 from basketspark.sources import serving
 from basketspark.sources.ledger import read_if_present
 
@@ -28,39 +28,50 @@ class Workspace:
     """Ledger in, analysis tables out.
 
     ``trees`` bounds the boosting rounds per model family; the operators'
-    own defaults are larger and apply when a family is not listed.
+    own defaults are larger and apply when a family is not listed. ``store`` is
+    the folder of stored artefacts (see :mod:`basketspark.plans.store`);
+    ``vector_source`` is the table behind ``external_vectors``, whose content
+    then is part of the digest.
     """
 
     def __init__(self, spark: SparkSession, raw: Callable[[], DataFrame], key: str = "ledger", window_days: int = split.WINDOW_DAYS,
                  trees: dict[str, int] | None = None, n_init: int = 10, depth: int = 6,
-                 external_vectors: Callable[[DataFrame], DataFrame] | None = None):
-        self.spark, self.raw, self.window_days = spark, raw, window_days
+                 external_vectors: Callable[[DataFrame], DataFrame] | None = None,
+                 vector_source: Callable[[], DataFrame] | None = None, store: str | None = None):
+        self.spark, self.raw, self.window_days, self.key = spark, raw, window_days, key
         self.trees, self.n_init, self.depth = trees or {}, n_init, depth
-        self.external_vectors = external_vectors
-        tag = hashlib.md5(key.encode()).hexdigest()[:12]
-        self.root = f"{scratch_dir(spark)}/basketspark/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:8]}"
+        self.external_vectors, self.vector_source, self.store_folder = external_vectors, vector_source, store
         self._tables: dict[str, DataFrame] = {}
         self._models: dict[str, object] = {}
 
+    @cached_property
+    def digest(self) -> str:
+        parameters = {"key": self.key, "window_days": self.window_days, "trees": self.trees, "n_init": self.n_init, "depth": self.depth}
+        return artefact_digest(parameters, self.raw(), *([self.vector_source()] if self.vector_source else []))
+
+    @cached_property
+    def store(self) -> ArtefactStore:
+        return ArtefactStore(self.spark, self.store_folder or default_store(self.spark), self.digest)
+
+    @property
+    def root(self) -> str:
+        return self.store.root
+
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
-            path = f"{self.root}/{name}"
-            build().write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.parquet(path)
+            self._tables[name] = self.store.table(name, build)
         return self._tables[name]
 
-    def model(self, name: str, fit: Callable[[], object]):
+    def model(self, name: str, fit: Callable[[], object], kind: str = "json"):
         if name not in self._models:
-            self._models[name] = fit()
+            self._models[name] = self.store.model(name, fit, kind)
         return self._models[name]
 
     # --- ledger and snapshots ---
 
     @cached_property
     def clean_path(self) -> str:
-        path = f"{self.root}/clean"
-        clean.write_clean_tables(self.raw(), path)
-        return path
+        return self.store.path_of("clean", lambda path: clean.write_clean_tables(self.raw(), path))
 
     @cached_property
     def purchases(self) -> DataFrame:
@@ -93,10 +104,10 @@ class Workspace:
 
     @cached_property
     def scaler(self) -> segment.Scaler:
-        return segment.fit_scaler(self.features("train"))
+        return self.model("scaler", lambda: segment.fit_scaler(self.features("train")), "scaler")
 
     def kmeans(self, k: int = 4):
-        return self.model(f"kmeans_{k}", lambda: segment.fit_kmeans(segment.prepare(self.features("train"), self.scaler), k, self.n_init))
+        return self.model(f"kmeans_{k}", lambda: segment.fit_kmeans(segment.prepare(self.features("train"), self.scaler), k, self.n_init), "kmeans")
 
     def segment_labels(self, centroids) -> DataFrame:
         return segment.assign_labels(segment.prepare(self.features("train"), self.scaler), centroids)
@@ -114,7 +125,7 @@ class Workspace:
     # --- repurchase ---
 
     def classifier(self):
-        return self.model("classifier", lambda: repurchase.fit_classifier(self.features("train"), self.trees.get("classifier", 600)))
+        return self.model("classifier", lambda: repurchase.fit_classifier(self.features("train"), self.trees.get("classifier", 600)), "ensemble")
 
     def repurchase_scored(self) -> DataFrame:
         """Test snapshot with label ``y`` and model probability ``p``."""
@@ -141,7 +152,7 @@ class Workspace:
             inputs = self.table("bgnbd_input_train", lambda: value.bgnbd_input(self.features("train")))
             repeat = value.repeat_order_value(self.train.observation)
             return value.fit_purchases(inputs), value.fit_spend(inputs, repeat)
-        return self.model("value_params", fit)
+        return self.model("value_params", fit, "value")
 
     def clv_scored(self) -> DataFrame:
         def build():
@@ -151,12 +162,13 @@ class Workspace:
 
     def regressor_scored(self, log_target: bool) -> DataFrame:
         name = "regressor_log" if log_target else "regressor_raw"
-        model = self.model(name, lambda: value.fit_regressor(self.features("train"), log_target, self.trees.get("regressor", 2000)))
+        model = self.model(name, lambda: value.fit_regressor(self.features("train"), log_target, self.trees.get("regressor", 2000)), "ensemble")
         return self.table(f"{name}_scored", lambda: value.predict_regressor(model, self.features("test"), log_target))
 
     def hurdle(self):
-        return self.model("hurdle", lambda: value.fit_hurdle(
-            self.features("train"), self.trees.get("classifier", 600), self.trees.get("regressor", 2000)))
+        train = self.features("train")
+        return (self.model("hurdle_buys", lambda: value.fit_hurdle_classifier(train, self.trees.get("classifier", 600)), "ensemble"),
+                self.model("hurdle_amount", lambda: value.fit_hurdle_regressor(train, self.trees.get("regressor", 2000)), "ensemble"))
 
     def hurdle_scored(self) -> DataFrame:
         return self.table("hurdle_scored", lambda: value.predict_hurdle(*self.hurdle(), self.features("test")))
@@ -224,11 +236,11 @@ class Workspace:
 
     def pointwise(self):
         return self.model("pointwise", lambda: recommend.fit_pointwise(
-            recommend.group_split(self.featured("train", "learned")), self.trees.get("ranker", 500), self.depth))
+            recommend.group_split(self.featured("train", "learned")), self.trees.get("ranker", 500), self.depth), "ensemble")
 
     def listwise(self):
         return self.model("listwise", lambda: recommend.fit_listwise(
-            recommend.group_split(self.featured("train", "learned")), self.trees.get("listwise", 500), self.depth))
+            recommend.group_split(self.featured("train", "learned")), self.trees.get("listwise", 500), self.depth), "ensemble")
 
     def ranked_candidates(self) -> DataFrame:
         """Test candidates with both ranker scores."""
@@ -288,7 +300,9 @@ class Workspace:
         return self.table("served_lists", lambda: recommend.top_k(self.ranked_candidates(), score="pointwise"))
 
     def metrics(self) -> DataFrame:
-        dates = (str(self.train.cutoff.date()), str(self.test.cutoff.date()))
-        reco = self.reco_table().withColumn("contender", F.concat_ws(": ", "scope", "contender")).drop("scope")
-        return serving.metrics_table(
-            {"repurchase": self.repurchase_contenders(), "value": self.value_contenders(), "recommender": reco}, *dates)
+        """All metric rows of the run, kept in the store: a session that finds them there fits nothing."""
+        def build():
+            dates = (str(self.train.cutoff.date()), str(self.test.cutoff.date()))
+            reco = self.reco_table().withColumn("contender", F.concat_ws(": ", "scope", "contender")).drop("scope")
+            return serving.metrics_table({"repurchase": self.repurchase_contenders(), "value": self.value_contenders(), "recommender": reco}, *dates)
+        return self.table("metrics", build)

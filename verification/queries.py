@@ -24,7 +24,6 @@ FIXED_SPENDING = value.SpendParams(p=1.896, q=3.820, v=544.11)
 EFFECT_CENTRES = [300.0, 7.0, 600000.0, 90000.0, 1900.0, 25.0, 650.0, 90.0, 350.0, 26000.0, 0.5, 2.0, 50000.0]
 EFFECT_SCALES = [-251.3, 5.3, 400003.7, 70001.9, 907.1, 21.7, 503.3, 61.3, -307.1, 40009.3, 1.3, -3.1, -60013.1]
 
-
 _workspaces: dict[tuple[str, str], Workspace] = {}
 
 
@@ -35,6 +34,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
         _workspaces[key] = Workspace(
             spark, lambda: ledger_from_orders(spark, folder), folder,
             external_vectors=lambda items: vectors_from_embeddings(spark, folder, items),
+            vector_source=lambda: read_table(spark, folder, "embeddings"),
         )
     return _workspaces[key]
 
@@ -681,10 +681,8 @@ def _(ws, spark, folder):
 
 @query("params_round_trip")
 def _(ws, spark, folder):
-    path = f"{ws.root}/params"
     buying, spending = ws.value_params()
-    value.params_table(spark, buying, spending).write.mode("overwrite").parquet(path)
-    again = value.load_params(spark.read.parquet(path))
+    again = value.load_params(ws.table("params_round_trip", lambda: value.params_table(spark, buying, spending)))
     one, two = (value.clv_prediction(ws.features("test"), ws.test.observation, *p).select("customer_id", "p") for p in ((buying, spending), again))
     both = one.join(two.withColumnRenamed("p", "p_again"), "customer_id")
     return both.agg(F.count(F.lit(1)).alias("customers"), F.count_if(F.col("p") != F.col("p_again")).alias("changed"))
