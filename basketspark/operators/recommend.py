@@ -274,61 +274,103 @@ def owned_copurchase(weights: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.groupBy("customer_id", F.col("item_j").alias("item_idx")).agg(F.sum("n_baskets").alias("co_score"))
 
 
+TILE_CELLS = 1 << 22  # customers x items summed in one dense tile
+TILE_PRODUCTS = 1 << 22  # products added to a tile at a time
+
+
+def tile_sums(customer: np.ndarray, item: np.ndarray, start: np.ndarray, column: np.ndarray, n: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Sparse product as one dense tile: for every owned (customer, item) the item's row of the pair table added to the customer's.
+
+    The pair table's rows lie behind each other: those of item ``i`` from ``start[i]`` to ``start[i + 1]``.
+    """
+    out = np.zeros(shape[0] * shape[1])
+    length = start[item + 1] - start[item]
+    customer, item, length = customer[length > 0], item[length > 0], length[length > 0]
+    ends = np.cumsum(length)
+    lo = 0
+    while lo < len(item):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + TILE_PRODUCTS, "right")))
+        own = length[lo:hi]
+        at = np.arange(own.sum()) + np.repeat(start[item[lo:hi]] - (ends[lo:hi] - own - before), own)
+        out += np.bincount(np.repeat(customer[lo:hi], own) * shape[1] + column[at], n[at], len(out))
+        lo = hi
+    return out.astype(np.int64).reshape(shape)
+
+
+def best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of each row's best ``k`` positive scores, ties by place."""
+    width = scores.shape[1]
+    order = scores * width + np.arange(width - 1, -1, -1)
+    if k < width:
+        least = np.partition(order, width - k, axis=1)[:, width - k, None]
+        return np.nonzero((order >= least) & (scores > 0))
+    return np.nonzero(scores > 0)
+
+
 def wanted_copurchase(weights: DataFrame, pairs: DataFrame, candidates: DataFrame | None = None, k: int = TOP_K,
-                      customers_per_chunk: int = 16_384, pairs_per_chunk: int = 2_000_000) -> DataFrame:
+                      customers_per_chunk: int = 4096, pairs_per_chunk: int = 2_000_000) -> DataFrame:
     """The rows of :func:`owned_copurchase` that ranking reads, without the rest: (customer_id, item_idx, co_score).
 
-    Kept are the scores of ``candidates`` and, per customer, the best ``k``
-    items of each item chunk, of all and of those not owned (ties by item), so
-    the best ``k`` overall are among them. Customers and scored items are hashed
-    into chunks; a cell holds the owned items of its customers and the pairs of
-    its items, sums a customer's columns in one dense row, and returns only what
-    is kept. Nothing of the size customers x items is stored or shuffled.
+    Kept are the scores of ``candidates`` and, per customer, the best ``k`` items of each item chunk, of all and of
+    those not owned (ties by item), so the best ``k`` overall are among them. The product is taken in tiles: customers
+    are hashed into chunks, scored items too. A cell of both gets its customers' owned items and, of the pair table,
+    only the rows of items that one of these customers owns, and adds them up tile by tile. Nothing of the size
+    customers x items is stored or shuffled, and no pair goes to a chunk of customers who do not own its item.
     """
-    mirror = mirrored(pairs)
     n_customers, n_pairs = weights.select("customer_id").distinct().count(), 2 * pairs.count()
     p = max(1, -(-n_customers // customers_per_chunk), min(weights.sparkSession.sparkContext.defaultParallelism, n_customers // 64))
     q = max(1, -(-n_pairs // pairs_per_chunk))
-    chunk = F.pmod(F.xxhash64(F.col("item_idx").cast("int")), F.lit(q)).cast("int")
-    owned = weights.groupBy("customer_id").agg(F.collect_list("item_idx").alias("owned")).withColumn(
-        "_q", F.explode(F.sequence(F.lit(0), F.lit(q - 1)))
-    )
-    if candidates is None:
-        rows = owned.withColumn("wanted", F.array().cast("array<int>"))
-    else:
-        wanted = candidates.select("customer_id", "item_idx", chunk.alias("_q")).groupBy("customer_id", "_q").agg(F.collect_set("item_idx").alias("wanted"))
-        rows = owned.join(wanted, ["customer_id", "_q"], "left").withColumn("wanted", F.coalesce("wanted", F.array().cast("array<int>")))
-    rows = rows.withColumn("_p", F.pmod(F.xxhash64("customer_id"), F.lit(p)).cast("int"))
-    columns = mirror.withColumnRenamed("item_j", "item_idx").withColumn("_rq", chunk).withColumn("_rp", F.explode(F.sequence(F.lit(0), F.lit(p - 1))))
+    item_chunk = F.pmod(F.xxhash64(F.col("item_idx").cast("int")), F.lit(q)).cast("int")
+    customer_chunk = F.pmod(F.xxhash64("customer_id"), F.lit(p)).cast("int").alias("_p")
+    owned = weights.select("customer_id", F.col("item_idx").cast("int"), customer_chunk)
+    asks = owned.select("*", F.explode(F.sequence(F.lit(0), F.lit(q - 1))).alias("_q"), F.lit(False).alias("wanted"))
+    if candidates is not None:
+        asks = asks.unionByName(candidates.select("customer_id", F.col("item_idx").cast("int"), customer_chunk, item_chunk.alias("_q"), F.lit(True).alias("wanted")))
+    owners = owned.select(F.col("_p").alias("_rp"), F.col("item_idx").alias("item_i")).distinct()
+    columns = salted_join(mirrored(pairs).withColumnRenamed("item_j", "item_idx").select("item_i", "item_idx", "n_baskets", item_chunk.alias("_rq")), owners, "item_i")
     id_type = dict(weights.dtypes)["customer_id"]
 
-    def best(scores: np.ndarray) -> np.ndarray:
-        """Places of the best k positive scores, ties by place."""
-        if k < len(scores):
-            places = np.flatnonzero(scores >= max(np.partition(scores, -k)[-k], 1))
-        else:
-            places = np.flatnonzero(scores > 0)
-        return places[np.argsort(-scores[places], kind="stable")[:k]]
-
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            right = right.sort_values("item_i", kind="stable")
-            item, column = np.unique(right["item_idx"].to_numpy(), return_inverse=True)
-            start, n = right["item_i"].to_numpy(), right["n_baskets"].to_numpy(float)
-            for customer, own, asked in zip(left["customer_id"], left["owned"], left["wanted"]):
-                own = np.asarray(own)
-                lo, hi = np.searchsorted(start, own, "left"), np.searchsorted(start, own, "right")
-                scores = np.zeros(len(item))
-                for a, b in zip(lo, hi):  # an item's columns are distinct
-                    scores[column[a:b]] += n[a:b]
-                fresh = np.where(np.isin(item, own), 0, scores)
-                places = np.concatenate([best(scores), best(fresh), np.flatnonzero(np.isin(item, np.asarray(asked, int)))])
-                places = np.unique(places[scores[places] > 0])
-                found.append(pd.DataFrame({"customer_id": customer, "item_idx": item[places], "co_score": scores[places].astype("int64")}))
-        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"customer_id": [], "item_idx": [], "co_score": []})
-
-    return rows.groupBy("_p", "_q").cogroup(columns.groupBy("_rp", "_rq")).applyInPandas(cell, f"customer_id {id_type}, item_idx int, co_score long")
+        empty = pd.DataFrame({"customer_id": [], "item_idx": [], "co_score": []})
+        if not len(left) or not len(right):
+            return empty
+        customers, who = np.unique(left["customer_id"].to_numpy(), return_inverse=True)
+        what, asked = left["item_idx"].to_numpy(), left["wanted"].to_numpy()
+        items, column = np.unique(right["item_idx"].to_numpy(), return_inverse=True)
+        sources, source = np.unique(right["item_i"].to_numpy(), return_inverse=True)
+        width = min(len(items), max(1, TILE_CELLS // len(customers)))
+        order = np.lexsort((source, column // width))
+        column, source, n = column[order], source[order], right["n_baskets"].to_numpy(float)[order]
+        at = np.minimum(np.searchsorted(sources, what), len(sources) - 1)
+        has = ~asked & (sources[at] == what)
+        place = np.minimum(np.searchsorted(items, what), len(items) - 1)
+        scored = items[place] == what
+        found, tops = [], []
+        for tile in range(-(-len(items) // width)):
+            lo, hi = np.searchsorted(column // width, [tile, tile + 1])
+            first, shape = tile * width, (len(customers), min(width, len(items) - tile * width))
+            start = np.searchsorted(source[lo:hi], np.arange(len(sources) + 1))
+            scores = tile_sums(who[has], at[has], start, column[lo:hi] - first, n[lo:hi], shape)
+            here = scored & (place >= first) & (place < first + shape[1])
+            x, y = who[here & asked], place[here & asked] - first
+            found.append((x, y + first, scores[x, y]))
+            x, y = best_places(scores, k)
+            tops.append((x, y + first, scores[x, y], np.zeros(len(x), np.int8)))
+            scores[who[here & ~asked], place[here & ~asked] - first] = 0
+            x, y = best_places(scores, k)
+            tops.append((x, y + first, scores[x, y], np.ones(len(x), np.int8)))
+        x, y, s, fresh = (np.concatenate(c) for c in zip(*tops))
+        order = np.lexsort((y, -s, x, fresh))
+        x, y, s, fresh = x[order], y[order], s[order], fresh[order]
+        begin = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (fresh[1:] != fresh[:-1])]) if len(x) else np.zeros(0, np.int64)
+        keep = np.arange(len(x)) - np.repeat(begin, np.diff(np.r_[begin, len(x)])) < k
+        x, y, s = (np.concatenate([c[keep], *(f[m] for f in found)]) for m, c in enumerate((x, y, s)))
+        _, once = np.unique(x * len(items) + y, return_index=True)
+        once = once[s[once] > 0]
+        return pd.DataFrame({"customer_id": customers[x[once]], "item_idx": items[y[once]], "co_score": s[once]})
+
+    return asks.groupBy("_p", "_q").cogroup(columns.groupBy("_rp", "_rq")).applyInPandas(cell, f"customer_id {id_type}, item_idx int, co_score long")
 
 
 def candidate_copurchase(candidates: DataFrame, scores: DataFrame) -> DataFrame:

@@ -81,8 +81,10 @@ def test_owned_copurchase_broadcast_and_shuffle_paths_agree(families, items, mon
     assert {tuple(r) for r in recommend.owned_copurchase(w, pairs).collect()} == small
 
 
-@pytest.mark.parametrize("chunk", [40, 2_000_000])
-def test_wanted_copurchase_keeps_the_best_and_the_asked_scores(spark, families, items, chunk):
+@pytest.mark.parametrize("chunk, cells, products", [(40, 1 << 22, 1 << 22), (2_000_000, 1 << 22, 7), (2_000_000, 20, 1 << 22)])
+def test_wanted_copurchase_keeps_the_best_and_the_asked_scores(spark, families, items, chunk, cells, products, monkeypatch):
+    monkeypatch.setattr(recommend, "TILE_CELLS", cells)
+    monkeypatch.setattr(recommend, "TILE_PRODUCTS", products)
     w = recommend.purchase_weights(families, items, datetime(2011, 6, 1)).cache()
     w = w.filter("item_idx % 3 > 0").unionByName(w.limit(1).withColumn("customer_id", F.lit(3).cast("bigint"))).cache()
     pairs = recommend.copurchase(families, items).cache()

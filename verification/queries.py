@@ -183,11 +183,6 @@ def _(ws, spark, folder):
     return rounded(serving.write_serving(table, f"{ws.root}/serve_recs"))
 
 
-@query("metrics_table")
-def _(ws, spark, folder):
-    return rounded(ws.metrics())
-
-
 # --- cleaning ---
 
 @query("clean_dedup")
@@ -1040,3 +1035,9 @@ def _(ws, spark, folder):
 @query("customer_page")
 def _(ws, spark, folder):
     return rounded(serving.customer_page(ws.features("test"), limit=100000, offset=10))
+
+
+# After the others, whose models and tables it reads.
+@query("metrics_table")
+def _(ws, spark, folder):
+    return rounded(ws.metrics())
