@@ -279,7 +279,7 @@ TILE_PRODUCTS = 1 << 22  # products added to a tile at a time
 
 
 def tile_sums(customer: np.ndarray, item: np.ndarray, start: np.ndarray, column: np.ndarray, n: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    """Sparse product as one dense tile: for every owned (customer, item) the item's row of the pair table added to the customer's.
+    """Sparse product as one dense tile, laid out flat: for every owned (customer, item) the item's row of the pair table added to the customer's.
 
     The pair table's rows lie behind each other: those of item ``i`` from ``start[i]`` to ``start[i + 1]``.
     """
@@ -295,17 +295,24 @@ def tile_sums(customer: np.ndarray, item: np.ndarray, start: np.ndarray, column:
         at = np.arange(own.sum()) + np.repeat(start[item[lo:hi]] - (ends[lo:hi] - own - before), own)
         out += np.bincount(np.repeat(customer[lo:hi], own) * shape[1] + column[at], n[at], len(out))
         lo = hi
-    return out.astype(np.int64).reshape(shape)
+    return out
 
 
-def best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and places of each row's best ``k`` positive scores, ties by place."""
-    width = scores.shape[1]
-    order = scores * width + np.arange(width - 1, -1, -1)
-    if k < width:
-        least = np.partition(order, width - k, axis=1)[:, width - k, None]
-        return np.nonzero((order >= least) & (scores > 0))
-    return np.nonzero(scores > 0)
+def best_places(row: np.ndarray, place: np.ndarray, score: np.ndarray, owned: np.ndarray, width: int, k: int) -> np.ndarray:
+    """Which entries are among the best ``k`` of their row, of all or of those not owned; ties by place."""
+    if not len(row):
+        return np.zeros(0, np.int64)
+    most = int(score.max()) + 1
+    if (int(row.max()) + 1) * most * width < 1 << 62:
+        order = np.argsort((row * most + (most - 1 - score)) * width + place)
+    else:
+        order = np.lexsort((place, -score, row))
+    row, fresh = row[order], ~owned[order]
+    begin = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    lengths = np.diff(np.r_[begin, len(row)])
+    before = np.cumsum(fresh) - fresh  # entries not owned that come earlier
+    rank, fresh_rank = np.arange(len(row)) - np.repeat(begin, lengths), before - np.repeat(before[begin], lengths)
+    return order[(rank < k) | (fresh & (fresh_rank < k))]
 
 
 def wanted_copurchase(weights: DataFrame, pairs: DataFrame, candidates: DataFrame | None = None, k: int = TOP_K,
@@ -319,8 +326,9 @@ def wanted_copurchase(weights: DataFrame, pairs: DataFrame, candidates: DataFram
     customers x items is stored or shuffled, and no pair goes to a chunk of customers who do not own its item.
     """
     n_customers, n_pairs = weights.select("customer_id").distinct().count(), 2 * pairs.count()
-    p = max(1, -(-n_customers // customers_per_chunk), min(weights.sparkSession.sparkContext.defaultParallelism, n_customers // 64))
-    q = max(1, -(-n_pairs // pairs_per_chunk))
+    p = max(1, -(-n_customers // customers_per_chunk))
+    # A pair is sent to p cells whatever q is: more chunks of items than needed give every core several cells.
+    q = max(1, -(-n_pairs // pairs_per_chunk), min(3 * weights.sparkSession.sparkContext.defaultParallelism // p, n_pairs // 10_000))
     item_chunk = F.pmod(F.xxhash64(F.col("item_idx").cast("int")), F.lit(q)).cast("int")
     customer_chunk = F.pmod(F.xxhash64("customer_id"), F.lit(p)).cast("int").alias("_p")
     owned = weights.select("customer_id", F.col("item_idx").cast("int"), customer_chunk)
@@ -346,29 +354,25 @@ def wanted_copurchase(weights: DataFrame, pairs: DataFrame, candidates: DataFram
         has = ~asked & (sources[at] == what)
         place = np.minimum(np.searchsorted(items, what), len(items) - 1)
         scored = items[place] == what
-        found, tops = [], []
+        found = []
         for tile in range(-(-len(items) // width)):
             lo, hi = np.searchsorted(column // width, [tile, tile + 1])
             first, shape = tile * width, (len(customers), min(width, len(items) - tile * width))
             start = np.searchsorted(source[lo:hi], np.arange(len(sources) + 1))
             scores = tile_sums(who[has], at[has], start, column[lo:hi] - first, n[lo:hi], shape)
             here = scored & (place >= first) & (place < first + shape[1])
-            x, y = who[here & asked], place[here & asked] - first
-            found.append((x, y + first, scores[x, y]))
-            x, y = best_places(scores, k)
-            tops.append((x, y + first, scores[x, y], np.zeros(len(x), np.int8)))
-            scores[who[here & ~asked], place[here & ~asked] - first] = 0
-            x, y = best_places(scores, k)
-            tops.append((x, y + first, scores[x, y], np.ones(len(x), np.int8)))
-        x, y, s, fresh = (np.concatenate(c) for c in zip(*tops))
-        order = np.lexsort((y, -s, x, fresh))
-        x, y, s, fresh = x[order], y[order], s[order], fresh[order]
-        begin = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (fresh[1:] != fresh[:-1])]) if len(x) else np.zeros(0, np.int64)
-        keep = np.arange(len(x)) - np.repeat(begin, np.diff(np.r_[begin, len(x)])) < k
-        x, y, s = (np.concatenate([c[keep], *(f[m] for f in found)]) for m, c in enumerate((x, y, s)))
-        _, once = np.unique(x * len(items) + y, return_index=True)
-        once = once[s[once] > 0]
-        return pd.DataFrame({"customer_id": customers[x[once]], "item_idx": items[y[once]], "co_score": s[once]})
+            cells = who[here] * shape[1] + place[here] - first
+            owned_here, wanted_here = np.zeros(len(scores), bool), np.zeros(len(scores), bool)
+            owned_here[cells[~asked[here]]], wanted_here[cells[asked[here]]] = True, True
+            own = np.flatnonzero(scores)
+            x, y = np.divmod(own, shape[1])
+            s = scores[own].astype(np.int64)
+            keep = wanted_here[own]
+            keep[best_places(x, y, s, owned_here[own], shape[1], k)] = True
+            found.append((x[keep], y[keep] + first, s[keep], owned_here[own][keep], wanted_here[own][keep]))
+        x, y, s, mine, asked_for = (np.concatenate(c) for c in zip(*found))
+        asked_for[best_places(x, y, s, mine, len(items), k)] = True  # now the best of all tiles
+        return pd.DataFrame({"customer_id": customers[x], "item_idx": items[y], "co_score": s})[asked_for]
 
     return asks.groupBy("_p", "_q").cogroup(columns.groupBy("_rp", "_rq")).applyInPandas(cell, f"customer_id {id_type}, item_idx int, co_score long")
 
