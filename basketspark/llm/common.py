@@ -82,7 +82,7 @@ def map_frames(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInPandas`` with exact 64-bit integers: a whole-number column that holds nulls arrives as ``Int64``, not as doubles."""
     import pyarrow as pa
 
-    plain = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+    plain = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [field.rsplit(" ", 1) for field in schema.split(", ")]
     kind = {t: pa.list_(pa.field("element", plain[t[6:-1]])) if t.startswith("array<") else plain[t] for _, t in fields}
     out = pa.schema([(name.strip("`"), kind[t]) for name, t in fields])

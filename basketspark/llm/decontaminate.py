@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import MIX, Written, WordHasher, combine, mix64, words
+from basketspark.llm.common import MIX, WordHasher, Written, combine, map_frames, mix64, words
 
 BINS_PER_SHINGLE = 4
 MISS = 0.12
@@ -123,7 +123,7 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = 5, threshold: fl
                 out = pd.DataFrame(rows, columns=["doc_id", "item_id", "item_shingles", "shared_shingles", "containment"])
                 yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
 
-        found.append(docs.mapInPandas(search, FOUND))
+        found.append(map_frames(docs, search, FOUND))
     return reduce(DataFrame.unionByName, found)
 
 

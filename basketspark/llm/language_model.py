@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import MIX, Written, WordHasher, input_file, mix64, new_folder, output_file, words
+from basketspark.llm.common import MIX, WordHasher, Written, input_file, map_frames, mix64, new_folder, output_file, words
 
 END, START = np.uint64(0x5C0D2E_0000_0001), np.uint64(0x5C0D2E_0000_0002)
 STEPS = 4  # cells an octave of the statistics for the weights
@@ -107,7 +107,7 @@ def write_blocks(docs: DataFrame, learn: Column, folder: str, tokens_per_block:
             yield close()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", learn.alias("learn"))
-    return rows.mapInPandas(build, "file string, tokens long, train_tokens long, train_docs long")
+    return map_frames(rows, build, "file string, tokens long, train_tokens long, train_docs long")
 
 
 def asked(files: DataFrame, shards: int) -> DataFrame:

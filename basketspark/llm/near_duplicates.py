@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import MIX, Written, WordHasher, mix64
+from basketspark.llm.common import MIX, WordHasher, Written, map_frames, mix64
 from basketspark.llm.components import components
 
 VALUES, TREES, DEPTH = 128, 20, 4
@@ -70,10 +70,10 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                     rows.append((doc_id, len(h), xxhash.xxh3_64_intdigest(h.tobytes()) - 2**63, short.tobytes(), r, r.tobytes()))
                 else:
                     rows.append((doc_id, 0, None, None, None, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "set_id", "signature", "regions", "trees"])
-            yield out.astype({"doc_id": "Int64", "set_id": "Int64"})
+            out = pd.DataFrame(rows, dtype=object, columns=["doc_id", "n", "set_id", "signature", "regions", "trees"])  # no doubles beside nulls
+            yield out.astype({"doc_id": "Int64", "n": "int64", "set_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe, "doc_id long, n long, set_id long, signature binary, regions array<long>, trees binary")
+    return map_frames(docs.select(F.col("doc_id").cast("long"), "text"), describe, "doc_id long, n long, set_id long, signature binary, regions array<long>, trees binary")
 
 
 def order_of(tree: Column) -> Column:

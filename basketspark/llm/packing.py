@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import Written
+from basketspark.llm.common import Written, map_frames
 from basketspark.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -39,13 +39,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: in
                     at, piece = to, piece + 1
             yield frame(rows, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, PIECES + (", ids binary" if with_ids else ""))
+    return map_frames(docs.select(F.col("doc_id").cast("long"), "text"), cut, PIECES + (", ids binary" if with_ids else ""))
 
 
 def frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=columns)
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+    out = pd.DataFrame(rows, dtype=object, columns=columns)
+    return out.astype({c: "Int64" if c == "doc_id" else "int64" for c in columns if c != "ids"})
 
 
 class Stock:
@@ -130,7 +129,10 @@ def pack(pieces: DataFrame, length: int = 2048, pieces_per_task: int = 20_000) -
     full length fill a sequence each. Repeated rows are packed one by one; an empty table gives an empty result.
     """
     written = Written(pieces.sparkSession, "packing")
-    pieces = written.keep(pieces, "pieces")
+    number = "piece number"
+    while number in pieces.columns:
+        number += "_"
+    pieces = written.keep(pieces.withColumn(number, F.monotonically_increasing_id()), "pieces")
     tasks = max(1, -(-pieces.count() // pieces_per_task))
     schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes)
 
@@ -144,8 +146,8 @@ def pack(pieces: DataFrame, length: int = 2048, pieces_per_task: int = 20_000) -
             own["sequence_id"] = which + (TaskContext.get().partitionId() << 32)
             yield own
 
-    keys = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
-    return pieces.repartition(tasks, *keys).mapInPandas(packed, f"{schema}, offset long, sequence_id long")
+    # Dealt by a number of their own: rows that are alike in all columns go to different tasks.
+    return map_frames(pieces.repartition(tasks, F.xxhash64(number)), packed, f"{schema}, offset long, sequence_id long").drop(number)
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketspark.llm.common import id_remainder
@@ -163,19 +163,21 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Null and empty texts have the score of a text without any feature.
     """
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", quality_score double"
+    return docs.withColumn("quality_score", score_of(docs, model))
+
+
+def score_of(docs: DataFrame, model: Model | None) -> Column:
+    """The score of the column ``text`` as a column; no other column goes through Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, own = class_table(), sent.value
-        for batch in batches:
-            scores = np.ones(len(batch))
-            for lo in range(0, len(batch) if own else 0, 1000):
-                scores[lo : lo + 1000] = own.scores(np.vstack([features(t, table) for t in batch["text"].iloc[lo : lo + 1000]]).astype(np.float64))
-            batch["quality_score"] = scores
-            yield batch
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        table, own, out = class_table(), sent.value, np.ones(len(texts))
+        for lo in range(0, len(texts) if own else 0, 1000):
+            out[lo : lo + 1000] = own.scores(np.vstack([features(t, table) for t in texts.iloc[lo : lo + 1000]]).astype(np.float64))
+        return pd.Series(out)
 
-    return docs.mapInPandas(run, schema)
+    return scores(F.col("text"))
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import Written, input_file, output_file
+from basketspark.llm.common import Written, input_file, map_frames, output_file
 from basketspark.llm.tokens import encoder
 
 MAGIC = 0x31_46_45_54  # fixed value
@@ -138,7 +138,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
             yield pd.DataFrame([(name, len(lengths), total, part)], columns=["file", "n_docs", "n_ids", "part"])
 
     ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return Written(spark, "token-files").keep(ordered.mapInPandas(write, "file string, n_docs long, n_ids long, part int"), "files")
+    return Written(spark, "token-files").keep(map_frames(ordered, write, "file string, n_docs long, n_ids long, part int"), "files")
 
 
 class TokenFile:

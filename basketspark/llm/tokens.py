@@ -37,10 +37,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
         one = [t.encode(x, add_special_tokens=False).ids for x in ("a", "b", "a b")]
         self.space_is_word_start = one[2] != one[0] + one[1]
         self.tokenizer, self.limit, self.known, self.old = t, limit, {}, {}
+        marks = [a.content for a in t.get_added_tokens_decoder().values()]
+        self.marked = re.compile("|".join(map(re.escape, marks)), re.IGNORECASE) if marks else None  # such a text is not cut
         mark = t.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if self.space_is_word_start and len(mark) == 1 else None  # elsewhere a line feed has no id
 
@@ -89,7 +90,7 @@ class Encoder:
         return out + self._ids(own)
 
     def _ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = {t: self.parts(t) for t in set(texts) if t}
+        cut = {t: [t] if self.marked and self.marked.search(t) else self.parts(t) for t in set(texts) if t}
         known, old = self.known, self.old
         new = []
         for part in set(chain.from_iterable(cut.values())).difference(known):

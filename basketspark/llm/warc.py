@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import Written, input_file, output_file
+from basketspark.llm.common import Written, input_file, map_frames, output_file
 
 CRLF = b"\r\n"
 # Names from the archive format's standard.
@@ -130,7 +130,7 @@ def write_archives(pages: DataFrame, folder: str, least_revisit: int = 0, segmen
         if n:
             yield pd.DataFrame([(name, n)], columns=["file", "records"])
 
-    return Written(spark, "warc-files").keep(marked.mapInPandas(write, "file string, records long"), "files")
+    return Written(spark, "warc-files").keep(map_frames(marked, write, "file string, records long"), "files")
 
 
 def whole(value) -> int | None:
@@ -190,7 +190,7 @@ def parsed(data: bytes) -> tuple:
 
 def record_frame(rows: list[tuple]) -> pd.DataFrame:
     columns = [c.split()[0] for c in RECORD.split(", ")]
-    out = pd.DataFrame(rows, columns=columns)
+    out = pd.DataFrame(rows, dtype=object, columns=columns)
     return out.astype({c: "Int64" for c in ("segment", "total_length", "page_id", "refers_to", "payload_length")})
 
 
@@ -237,7 +237,7 @@ def payloads(whole_records: DataFrame) -> DataFrame:
                                 "payload": body, "payload_digest": digest, "payload_bytes": pd.array(size, "Int64")})
 
     schema = "page_id long, url string, record_type string, refers_to long, payload binary, payload_digest string, payload_bytes long"
-    return whole_records.mapInPandas(decode, schema)
+    return map_frames(whole_records, decode, schema)
 
 
 def archive_round_trip(pages: DataFrame, folder: str, least_revisit: int = 0, segment_bytes: int = 16_384) -> DataFrame:

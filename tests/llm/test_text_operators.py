@@ -38,7 +38,6 @@ def given(name, *columns):
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_equals_whole_text_encoding(file):
     plain = Tokenizer.from_file(public_tokenizers.path(file))
-    plain.encode_special_tokens = True
     texts = [*ODD, *[t for (t,) in given("documents", "text")]]
     rng = np.random.default_rng(4)
     pool = ["a", "B", "'s", "don't", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "\u2003", "\u0301", "\x1c", "\x85", "漢字", "3.5", "!", "</s>", "x\n", "\r\n", "İ"]
