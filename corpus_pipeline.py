@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketspark.llm import decontaminate, near_duplicates, packing, quality
 from basketspark.llm.common import Written, table
@@ -17,7 +16,7 @@ from basketspark.llm.common import Written, table
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of at least 0.5)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality.score(docs, model).filter("quality_score >= 0.5").select(*docs.columns)
+    return docs.filter(quality.score_of(docs, model) >= 0.5)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
