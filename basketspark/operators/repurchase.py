@@ -118,8 +118,8 @@ def repurchase_scores(scored: DataFrame, contrib: DataFrame, as_of: str, train_r
         F.sort_array(F.collect_list(F.struct("rank", "feature", "value", "effect_log_odds", "direction"))).alias("top_drivers")
     )
     caveat = (
-        f"Probabilities are uncalibrated for this period: the model was trained on a {train_rate:.1%} base-rate window "
-        f"and applied to a {test_rate:.1%} one. Ranking and decile are unaffected."
+        f"Learned where {train_rate:.1%} of customers came back, applied where {test_rate:.1%} did, and not recalibrated: "
+        "compare customers by rank and decile, and take the percentage as approximate."
     )
     return score_decile(scored.select("customer_id", "p")).join(packed, "customer_id").select(
         "customer_id", F.round("p", 4).alias("probability"), "decile",
