@@ -40,8 +40,9 @@ class Encoder:
         one = [t.encode(x, add_special_tokens=False).ids for x in ("a", "b", "a b")]
         self.space_is_word_start = one[2] != one[0] + one[1]
         self.tokenizer, self.limit, self.known, self.old = t, limit, {}, {}
-        marks = [a.content for a in t.get_added_tokens_decoder().values()]
-        self.marked = re.compile("|".join(map(re.escape, marks)), re.IGNORECASE) if marks else None  # such a text is not cut
+        added = t.get_added_tokens_decoder().values()
+        self.marks = [a.content for a in added if not a.normalized]
+        self.marks_any_case = [a.content.lower() for a in added if a.normalized]
         mark = t.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if self.space_is_word_start and len(mark) == 1 else None  # elsewhere a line feed has no id
 
@@ -71,6 +72,12 @@ class Encoder:
         for part, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             known[part] = array("I", e.ids).tobytes()
 
+    def holds_mark(self, text: str) -> bool:
+        """Whether a text holds the string of an added token; such a text is not cut."""
+        if any(m in text for m in self.marks):
+            return True
+        return bool(self.marks_any_case) and any(m in text.lower() for m in self.marks_any_case)
+
     def parts(self, text: str) -> list[str]:
         if not self.space_is_word_start:
             return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
@@ -90,7 +97,7 @@ class Encoder:
         return out + self._ids(own)
 
     def _ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = {t: [t] if self.marked and self.marked.search(t) else self.parts(t) for t in set(texts) if t}
+        cut = {t: [t] if self.holds_mark(t) else self.parts(t) for t in set(texts) if t}
         known, old = self.known, self.old
         new = []
         for part in set(chain.from_iterable(cut.values())).difference(known):
