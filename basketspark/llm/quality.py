@@ -66,17 +66,31 @@ class Model:
 
 
 def descend(x: np.ndarray, gradient, steps: int, rate: float, decay: float) -> np.ndarray:
-    """Adam from zero over all rows; ``gradient`` maps margins to their derivative of the risk."""
+    """Adam from zero over all rows; ``gradient`` maps margins to their derivative of the risk.
+
+    Rows are in single precision and products in double, a stretch of rows at a time.
+    """
     w = np.zeros(x.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        g = gradient(x @ w[:-1] + w[-1])
-        full = np.append(x.T @ g, g.sum()) + decay * np.append(w[:-1], 0)
+        g = gradient(margins(x, w))
+        slope = sum((part.T @ own for part, own in zip(stretches(x), stretches(g))), np.zeros(x.shape[1]))
+        full = np.append(slope, g.sum()) + decay * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full**2
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
 
 
+def stretches(x: np.ndarray, rows: int = 1024) -> Iterator[np.ndarray]:
+    """``x`` in double precision, some rows at a time."""
+    for lo in range(0, len(x), rows):
+        yield x[lo : lo + rows].astype(np.float64)
+
+
+def margins(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.concatenate([part @ w[:-1] + w[-1] for part in stretches(x)])
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -101,20 +115,23 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 500, rate:
     sample and the mixture share read off the other. Where the second term falls below zero, its gradient is
     turned round, which takes back an over-fit.
     """
-    x = np.vstack([positive, unlabelled]).astype(np.float64)
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    both, n_p, n_u = np.vstack([positive, unlabelled]), len(positive), len(unlabelled)
+    mean = both.mean(axis=0, dtype=np.float64)
+    scale = np.sqrt(sum(((part - mean) ** 2).sum(axis=0) for part in stretches(both)) / len(both))
     scale[scale < 1e-6] = 1.0
-    p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-
-    half = lambda a, k: a[k::2]
-    hx = np.vstack([half(p, 0), half(u, 0)])
-    n_p, n_u = len(half(p, 0)), len(half(u, 0))
-    label = np.r_[np.ones(n_p), np.zeros(n_u)]
-    weight = np.r_[np.full(n_p, 0.5 / n_p), np.full(n_u, 0.5 / n_u)]
-    w = descend(hx, lambda z: weight * (sigmoid(z) - label), steps, rate, decay)
-    prior = mixture_share(half(p, 1) @ w[:-1], half(u, 1) @ w[:-1])
+    both -= mean.astype(np.float32)
+    both /= scale.astype(np.float32)
+    p, u = both[:n_p], both[n_p:]
+
+    learnt = np.vstack([p[0::2], u[0::2]])
+    h_p = len(p[0::2])
+    h_u = len(learnt) - h_p
+    label = np.r_[np.ones(h_p), np.zeros(h_u)]
+    weight = np.r_[np.full(h_p, 0.5 / h_p), np.full(h_u, 0.5 / h_u)]
+    w = descend(learnt, lambda z: weight * (sigmoid(z) - label), steps, rate, decay)
+    del learnt
+    prior = mixture_share(margins(p[1::2], w), margins(u[1::2], w))
 
-    both, n_p, n_u = np.vstack([p, u]), len(p), len(u)
     soft = lambda z: np.logaddexp(0, z)
 
     def gradient(z: np.ndarray) -> np.ndarray:
@@ -153,6 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positives: int = 6_000, max_unla
     found = found.drop_duplicates("doc_id").sort_values("doc_id")
     x = np.frombuffer(b"".join(found["x"]), np.float32).reshape(len(found), N_FEATURES)
     is_good, is_any = (found[c].eq(True).to_numpy(bool) for c in ("good", "any"))
+    del found
     if is_good.sum() < 2 or is_any.sum() < 2:
         return None
     return fit_pu(x[is_good], x[is_any])
