@@ -53,7 +53,7 @@ def regions(values: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (size of the shingle set), set_id (hash of the set), signature (a byte a value), regions, and the same as bytes (trees)."""
+    """doc_id, n (size of the shingle set), set_id (hash of the set), signature (a byte a value), trees (the region in every tree, as bytes)."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -66,14 +66,24 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 if len(h):
                     v = minhash(h)
                     short = ((v * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
-                    r = regions(v)
-                    rows.append((doc_id, len(h), xxhash.xxh3_64_intdigest(h.tobytes()) - 2**63, short.tobytes(), r, r.tobytes()))
+                    rows.append((doc_id, len(h), xxhash.xxh3_64_intdigest(h.tobytes()) - 2**63, short.tobytes(), regions(v).tobytes()))
                 else:
-                    rows.append((doc_id, 0, None, None, None, None))
-            out = pd.DataFrame(rows, dtype=object, columns=["doc_id", "n", "set_id", "signature", "regions", "trees"])  # no doubles beside nulls
+                    rows.append((doc_id, 0, None, None, None))
+            out = pd.DataFrame(rows, dtype=object, columns=["doc_id", "n", "set_id", "signature", "trees"])  # no doubles beside nulls
             yield out.astype({"doc_id": "Int64", "n": "int64", "set_id": "Int64"})
 
-    return map_frames(docs.select(F.col("doc_id").cast("long"), "text"), describe, "doc_id long, n long, set_id long, signature binary, regions array<long>, trees binary")
+    return map_frames(docs.select(F.col("doc_id").cast("long"), "text"), describe, "doc_id long, n long, set_id long, signature binary, trees binary")
+
+
+def places_of(sets: DataFrame) -> DataFrame:
+    """set_id, tree, region: a row for every tree of a set."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.frombuffer(b"".join(batch.trees), np.int64)
+            yield pd.DataFrame({"set_id": np.repeat(batch.set_id.to_numpy(np.int64), TREES), "tree": np.tile(np.arange(TREES, dtype=np.int32), len(batch)), "region": found})
+
+    return sets.select("set_id", "trees").mapInPandas(unpack, "set_id long, tree int, region long")
 
 
 def order_of(tree: Column) -> Column:
@@ -116,13 +126,13 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
 def class_tasks(rows: DataFrame) -> DataFrame:
     """The regions that hold several classes, dealt to comparison tasks region, i, j, with a row's own chunk.
 
-    ``rows``: region, set_id, n, signature, trees, label. Regions over CHUNK rows are cut into chunks of about that
+    ``rows``: region, set_id, label. Regions over CHUNK rows are cut into chunks of about that
     size: a large class into chunks of its own, small ones together. Every two chunks are a task, but for those that
     hold one and the same class, so a large class meets the few rows beside it and not itself.
     """
     mixed = rows.groupBy("region").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     rows = rows.join(mixed.select("region", "size"), "region")
-    columns = ["set_id", "n", "signature", "trees", "label"]
+    columns = ["set_id", "label"]
     small = rows.filter(f"size <= {CHUNK}").select("region", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("chunk"), *columns)
     large = rows.filter(f"size > {CHUNK}")
     by_label = large.groupBy("region", "label").agg(F.count("*").alias("own"))
@@ -375,13 +385,15 @@ def set_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[Dat
     written = Written(docs.sparkSession, "near-duplicates")
     rows = written.keep(described(docs, words), "described")
     sets = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    sets = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("n", "signature", "regions", "trees"), "doc_id").alias("s"))
+    sets = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("n", "signature", "trees"), "doc_id").alias("s"))
     sets = written.keep(sets.select("set_id", "doc_id", "s.*"), "sets")
+    rows = written.keep(rows.select("doc_id", "n", "set_id"), "rows")
+    written.drop("described")
 
-    places = sets.select("set_id", F.posexplode("regions").alias("tree", "region"))
+    places = places_of(sets)
     shared = places.groupBy("region").agg(F.count("*").alias("k")).filter("k > 1").select("region")
-    members = places.join(shared, "region").join(sets.select("set_id", "n", "signature", "trees"), "set_id")
-    members = written.keep(members.select("region", "tree", "set_id", "n", "signature", "trees"), "members")
+    members = written.keep(places.join(shared, "region").select("region", "tree", "set_id"), "members")
+    described_sets = sets.select("set_id", "n", "signature", "trees")
     wanted = members.select("set_id").distinct().join(sets.select("set_id", "doc_id"), "set_id")
     full = written.keep(full_sets(docs, wanted, words), "full")
 
@@ -394,14 +406,15 @@ def set_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[Dat
 
     def tasks(labels: DataFrame) -> DataFrame:
         now = members.join(labels.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-        return class_tasks(now.select("region", "set_id", "n", "signature", "trees", F.coalesce("root", "set_id").alias("label")))
+        return class_tasks(now.select("region", "set_id", F.coalesce("root", "set_id").alias("label"))).join(described_sets, "set_id")
 
-    labels = joined(None, shortened(confirmed(neighbours(members.filter("tree < 2"), percent), full, percent)))
+    first = members.filter("tree < 2").join(described_sets.drop("trees"), "set_id")
+    labels = joined(None, shortened(confirmed(neighbours(first, percent), full, percent)))
     labels = joined(labels, shortened(confirmed(spanning_pairs(tasks(labels), percent), full, percent)))
     rest = written.keep(undecided(tasks(labels), percent), "rest")
     labels = joined(labels, links_across(rest.join(full, "set_id"), percent))
-    written.drop("members", "full", "rest")
-    return rows.select("doc_id", "n", "set_id"), labels.select(F.col("node").alias("set_id"), F.col("root").alias("label"))
+    written.drop("members", "full", "rest", "sets")
+    return rows, labels.select(F.col("node").alias("set_id"), F.col("root").alias("label"))
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
