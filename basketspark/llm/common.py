@@ -34,12 +34,16 @@ class Written:
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark, self.root, self.paths = spark, new_folder(spark, purpose), {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def path(self, name: str) -> str:
+        """A folder for a table of this name."""
         path = f"{self.root}/{name}-{len(self.paths)}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[path] = name
-        return out
+        return path
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         for path in [p for p, n in self.paths.items() if n in names]:
@@ -74,6 +78,22 @@ def input_file(uri: str) -> Iterator:
         yield source
 
 
+def written_numbers(uri: str, folder: str, column: str) -> np.ndarray:
+    """From a task: a column of whole numbers from the Parquet files in a folder of a finished table; empty if it has no such folder."""
+    from pyarrow import fs, parquet
+
+    system, path = fs.FileSystem.from_uri(_absolute(uri))
+    if system.get_file_info(f"{path}/_SUCCESS").type != fs.FileType.File:
+        raise FileNotFoundError(f"{uri} is not a finished table")
+    files = system.get_file_info(fs.FileSelector(f"{path}/{folder}", allow_not_found=True))
+    found = []
+    for f in files:
+        if f.path.endswith(".parquet"):
+            with system.open_input_file(f.path) as source:
+                found.append(parquet.read_table(source, columns=[column])[column].to_numpy())
+    return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+
+
 def _absolute(uri: str) -> str:
     return uri if "://" in uri else "file://" + uri.removeprefix("file:")
 

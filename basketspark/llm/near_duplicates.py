@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.common import MIX, WordHasher, Written, map_frames, mix64
+from basketspark.llm.common import MIX, WordHasher, Written, map_frames, mix64, written_numbers
 from basketspark.llm.components import components
 
 VALUES, TREES, DEPTH = 128, 20, 4
@@ -29,6 +29,7 @@ CHUNK, BLOCK = 2048, 512  # rows of a chunk; rows compared at once
 LITTLE = 16
 SET_BYTES = 6
 PAIRS = "a long, b long, block long"
+NUMBER_BITS = 33  # monotonically_increasing_id: the task above these bits, its rows below
 
 _rng = np.random.default_rng(20_240_601)
 FACTORS = (_rng.integers(0, 2**32, VALUES, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
@@ -457,5 +458,31 @@ def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     worded = F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
     of_text = nulls.filter(worded).groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("row").alias("row")).select("row")
     kept = of_class.unionByName(rows.filter("n = 0").select("row")).unionByName(of_text).unionByName(nulls.filter(~worded).select("row"))
-    kept = written.keep(kept.withColumnRenamed("row", "kept row"), "rows")
-    return numbered.join(kept, numbered[number] == kept["kept row"], "left_semi").drop(number)
+    removed = ids.select("row").join(kept, "row", "left_anti")
+    return without_rows(numbered, number, removed, written.path("removed")).drop(number)
+
+
+def without_rows(numbered: DataFrame, number: str, removed: DataFrame, path: str) -> DataFrame:
+    """``numbered`` without the rows whose ``number`` is in ``removed`` (row), filtered where they lie.
+
+    The numbers are those of ``monotonically_increasing_id`` in a written table. The removed ones are written below
+    ``path``, a folder for each task that numbered rows, and a task reads the folders of the numbers it meets: at most
+    as many numbers as one task wrote rows. So only numbers are shuffled, never texts.
+    """
+    parts = removed.select("row", F.shiftright("row", NUMBER_BITS).alias("part"))
+    parts.repartition("part").sortWithinPartitions("part", "row").write.partitionBy("part").parquet(path)
+
+    @F.pandas_udf("boolean")
+    def stays(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        part, gone = None, np.zeros(0, np.int64)
+        for batch in batches:
+            rows = batch.to_numpy(np.int64)
+            out = np.ones(len(rows), bool)
+            for now in np.unique(rows >> NUMBER_BITS):
+                if now != part:
+                    part, gone = now, written_numbers(path, f"part={now}", "row")
+                own = (rows >> NUMBER_BITS) == now
+                out[own] = ~np.isin(rows[own], gone)
+            yield pd.Series(out)
+
+    return numbered.filter(stays(F.col(number)))
