@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketspark.functions.hypergeometric import hyp2f1
 from basketspark.functions.ranks import attach_by_score, exact_quantiles, score_ranks
 from basketspark.operators import boosting, metrics
 from basketspark.operators.features import FEATURE_COLUMNS
@@ -202,25 +203,18 @@ def expected_purchases(inputs: DataFrame, params: PurchaseParams, days: float =
     r, alpha, a, b = params.r, params.alpha, params.a, params.b
 
     @F.pandas_udf("double")
-    def hyp2f1(p: pd.Series, q: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
-        p, q, c, z = (s.to_numpy(float) for s in (p, q, c, z))
-        term, total, open_terms = np.ones_like(z), np.ones_like(z), np.ones_like(z, bool)
-        for n in range(100_000):
-            term = term * (p + n) * (q + n) / ((c + n) * (n + 1)) * z
-            total = total + term
-            open_terms = ~(np.abs(term) <= 1e-15 * np.maximum(np.abs(total), 1e-300))
-            if n > 10 and not open_terms.any():
-                break
-        return pd.Series(np.where(open_terms, np.nan, total)).astype("Float64")  # a series that has not converged has no value
+    def smooth(c: pd.Series, y: pd.Series) -> pd.Series:
+        found = hyp2f1(np.full(len(c), a + b - 1 - r), np.full(len(c), a - 1), c.to_numpy(float), y.to_numpy(float))
+        return pd.Series(found).astype("Float64")
 
     x, t_x, t = F.col("x"), F.col("t_x"), F.col("t_total")
-    z = F.lit(float(days)) / (F.lit(alpha) + t + F.lit(float(days)))
     c = F.lit(a + b - 1) + x
-    shrink = F.pow((F.lit(alpha) + t) / (F.lit(alpha) + t + F.lit(float(days))), F.lit(r) + x)
-    top = c / F.lit(a - 1) * (1 - F.col("hyp") * shrink)
+    # The term by Euler's transformation: its factor with x in the exponent cancels, and what is left is near one.
+    y = (F.lit(alpha) + t) / (F.lit(alpha) + t + F.lit(float(days)))
+    top = c / F.lit(a - 1) * (1 - F.col("hyp") * F.pow(y, F.lit(a - 1)))
     gone = F.when(x > 0, F.lit(a) / (F.lit(b - 1) + x) * F.pow((F.lit(alpha) + t) / (F.lit(alpha) + t_x), F.lit(r) + x)).otherwise(0.0)
     return (
-        inputs.withColumn("hyp", hyp2f1(F.lit(r) + x, F.lit(b) + x, c, z))
+        inputs.withColumn("hyp", smooth(c.cast("double"), y))
         .withColumn("direct_purchases", top / (1 + gone))
         .withColumn("expected_purchases", F.when(F.col("hyp") > 0, F.col("direct_purchases")))
         .drop("hyp")
