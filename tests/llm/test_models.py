@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,27 @@ def test_neighbour_odd_rows(spark):
     assert neighbours.nearest(vectors.filter("false"), F.lit(True)).count() == 0
 
 
+def test_all_namers_of_a_node_meet_its_neighbours_in_small_groups(spark):
+    near = {i: [0, 1 + i % 7, 8 + i % 5] for i in range(20, 600)}
+    near |= {i: [20 + i, 40 + i, 60 + i] for i in range(20)}
+    rows = [(i, np.array(a, np.int64).tobytes(), np.ones(3, np.float32).tobytes()) for i, a in near.items()]
+    groups = {}
+    for r in neighbours.meetings(spark.createDataFrame(rows, neighbours.GRAPH), 8).collect():
+        groups.setdefault(r["group"], set()).add(r["member"])
+    shared = {(a, b) for g in groups.values() for a in g for b in g}
+    assert all((i, other) in shared for i, a in near.items() for c in a for other in near[c])
+    assert max(map(len, groups.values())) < 40  # node 0 is named by 580
+
+
+def test_codes_keep_direction_and_length_over_many_orders():
+    x = np.random.default_rng(4).normal(size=(50, 16)) * np.logspace(-200, 200, 50)[:, None]
+    direction, length = neighbours.stacked(pd.Series(neighbours.coded(x, np.abs(x).max())))
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    assert np.allclose(direction, unit, atol=1e-3) and (np.diff(length) >= 0).all() and np.isfinite(length).all()
+    assert len(neighbours.products(direction[0], pd.Series([], dtype=object))) == 0
+
+
 def test_neighbour_recall_with_unequal_norms(spark):
     rng = np.random.default_rng(5)
     v = rng.normal(size=(4000, 32))
