@@ -8,11 +8,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketspark.functions.hashing import hash_bucket
+from basketspark.functions.isotonic import fit_isotonic, interpolate
 from basketspark.functions.ranks import attach_by_score, grouped_quantiles, score_ranks
 from basketspark.operators import boosting, metrics
 from basketspark.operators.features import FEATURE_COLUMNS
@@ -59,17 +59,15 @@ def with_calibration_half(df: DataFrame, key: str = "customer_id", seed: int = 4
     return df.withColumn("is_reference", hash_bucket(key, 2, seed) == 0)
 
 
-def fit_calibration(reference: DataFrame, y: str = "y", p: str = "p") -> IsotonicRegressionModel:
-    """Monotone map from score to observed rate; equal scores are merged and weighted first."""
-    merged = reference.groupBy(F.col(p).alias("features")).agg(
-        F.avg(F.col(y).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("w")
-    )
-    return IsotonicRegression(featuresCol="features", labelCol="label", weightCol="w").fit(merged)
+def fit_calibration(reference: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """Monotone map from score to observed rate, as blocks of scores: (lo, hi, value)."""
+    return fit_isotonic(reference, F.col(y), F.col(p))
 
 
-def apply_calibration(model: IsotonicRegressionModel, df: DataFrame, p: str = "p", out: str = "p_calibrated") -> DataFrame:
-    scored = model.transform(df.withColumn("features", F.col(p)))
-    return scored.withColumn(out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction")))).select(*df.columns, out)
+def apply_calibration(blocks: DataFrame, df: DataFrame, p: str = "p", out: str = "p_calibrated") -> DataFrame:
+    """``df`` with the rate that the map gives its score, within 0 and 1; null for a null score."""
+    mapped = interpolate(blocks, df, p, out)
+    return mapped.withColumn(out, F.when(F.col(out).isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(out))))).select(*df.columns, out)
 
 
 def calibrate(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
