@@ -155,6 +155,39 @@ def test_neighbour_recall_with_unequal_norms(spark):
     assert set(got) == set(want) and hits >= 0.9 * 20 * len(want)
 
 
+def test_neighbour_recall_without_structure(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(6000, 128))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    vectors = spark.createDataFrame(pd.DataFrame({"vec_id": range(6000), "embedding": list(v)}))
+    got = {}
+    for r in neighbours.nearest(vectors, F.col("vec_id") % 40 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_neighbours(list(enumerate(v)), range(0, 6000, 40))
+    hits = sum(len(got[q] & {v for v, _ in want[q]}) for q in want)
+    assert set(got) == set(want) and hits >= 0.99 * 20 * len(want)
+
+
+def test_exact_check_finds_all_above_the_floor(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SENT_BYTES", 300)
+    v = np.random.default_rng(6).integers(-2, 3, size=(700, 6)).astype(float)
+    nodes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "node long, v array<double>").repartition(3)
+    asked = nodes.filter("node < 30").select(F.col("node").alias("query"), "v", F.when(F.col("node") < 15, float("-inf")).otherwise(15.0).alias("floor"))
+    found = neighbours.not_below(asked, nodes, neighbours.Written(spark, "check"), 5)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query"], {})[r["node"]] = r["score"]
+    for q in range(30):
+        s = v @ v[q]
+        least = max(np.sort(s)[-5], 15 if q >= 15 else -np.inf)
+        assert {i for i in range(700) if s[i] >= least} <= set(got.get(q, {})) and all(x == s[i] for i, x in got.get(q, {}).items())
+    truth = neighbours.last_of_best(found.filter("query < 15"), 5, "least")
+    assert neighbours.recall(found, truth, 5) == 1.0
+    best_only = found.filter("query < 15").groupBy("query").agg(F.max("score").alias("score")).withColumn("node", F.col("query"))
+    assert neighbours.recall(best_only, truth, 5) == 0.0
+    assert neighbours.recall(found.filter("false"), truth.filter("false"), 5) == 1.0
+
+
 def brute_components(texts, n, percent):
     sets = {d: decontaminate.real_shingles(words(t), n) for d, t in texts.items()}
     parent = {d: d for d in sets}
