@@ -83,6 +83,27 @@ def test_most_frequent_runs_are_kept(spark, monkeypatch):
     assert all(c >= least for c in counts.values() if c == max(counts.values()))
 
 
+@pytest.mark.parametrize("runs, cells", [(40, L.CELLS), (L.MOST_RUNS, 2000)])
+def test_runs_that_are_not_sent_count_alike(spark, monkeypatch, runs, cells):
+    rng = np.random.default_rng(8)
+    pools = {"en": "the cat sat on the mat and that hat was there".split(), "de": "die Katze saß auf der Matte und dieser Hut war da".split(), "fr": "le chat était là sur ce tapis 漢字 \U00020000".split()}
+    langs = [["en", "de", "fr"][k % 3] for k in range(400)]
+    rows = [(k, " ".join(rng.choice(pools[lang], int(rng.integers(1, 30)))) + ("," if k % 2 else ""), lang) for k, lang in enumerate(langs)]
+    rows += [(None, None, "en"), (2**53 + 1, "", None), (1000, "12 .", "de"), (1001, "zzz qqq 漢 die hat", None), (1001, "zzz qqq 漢 die hat", None), (1002, "chat die " * 300, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+
+    def found():
+        return sorted(([r.doc_id or -1, r.n_chars], r.lang_pred, r.accepted, r.score, r.bits if r.bits is not None else -1) for r in L.identified(df, F.col("doc_id") < 1000).collect())
+
+    want = found()
+    monkeypatch.setattr(L, "MOST_RUNS", runs)
+    monkeypatch.setattr(L, "CELLS", cells)
+    monkeypatch.setattr(L, "CHARS", 50)
+    got = found()
+    assert len(got) == len(rows) and [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-3) and [g[4] for g in got] == pytest.approx([w[4] for w in want], rel=1e-5)
+
+
 def test_held_out_accuracy_and_inputs(spark):
     out = queries.op11_language_id(spark, SMALL)
     truth = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
