@@ -188,6 +188,49 @@ def test_exact_check_finds_all_above_the_floor(spark, monkeypatch):
     assert neighbours.recall(found.filter("false"), truth.filter("false"), 5) == 1.0
 
 
+def test_a_round_of_the_neighbour_search_runs_python_few_times(spark, monkeypatch):
+    steps, keep = {}, neighbours.Written.keep
+
+    def counted(self, df, name):
+        steps[name] = df._jdf.queryExecution().optimizedPlan().toString().count("InPandas ")
+        return keep(self, df, name)
+
+    monkeypatch.setattr(neighbours.Written, "keep", counted)
+    v = np.random.default_rng(7).normal(size=(300, 8))
+    vectors = spark.createDataFrame(pd.DataFrame({"vec_id": range(300), "embedding": list(v)}))
+    assert neighbours.nearest(vectors, F.col("vec_id") % 100 == 0).count() == 60
+    assert steps["walk1"] == 1  # each costs a task a partition, in every round
+    assert steps["graph1"] <= 4
+
+
+def test_merged_lists_tell_what_is_new(spark):
+    def part(node, held, **found):
+        ids, sims = np.array([int(i[1:]) for i in found], np.int64), np.array(list(found.values()), np.float32)
+        return node, ids.tobytes(), sims.tobytes(), held
+
+    parts = [part(1, True, n2=0.9, n3=0.5), part(1, False, n3=0.5, n4=0.7, n1=1.0), part(2, True, n1=0.9), part(2, False, n1=0.9), part(3, False, n1=0.5, n4=0.5)]
+    rows = {r.node: r for r in neighbours.merged(spark.createDataFrame(parts, f"{neighbours.GRAPH}, held boolean"), 2).collect()}
+    lists = {n: np.frombuffer(r.near, np.int64).tolist() for n, r in rows.items()}
+    assert lists == {1: [2, 4], 2: [1], 3: [1, 4]}
+    assert {n: r.fresh for n, r in rows.items()} == {1: 1, 2: 0, 3: 2}
+    assert rows[1].worst == pytest.approx(0.7) and rows[2].worst == -np.inf and rows[3].worst == 0.5
+
+
+def test_first_lists_compare_every_order_on_its_own(spark):
+    x = np.random.default_rng(8).normal(size=(700, 6))
+    nodes = spark.createDataFrame(pd.DataFrame({"node": range(700), "code": neighbours.coded(x, np.abs(x).max())}))
+    for tasks in (1, 4):
+        found = neighbours.first_lists(nodes, 5, 3, tasks, run=32).collect()
+        direction, length = neighbours.stacked(pd.Series(neighbours.coded(x, np.abs(x).max())))
+        seen = {}
+        for r in found:
+            near, sim = np.frombuffer(r.near, np.int64), np.frombuffer(r.sim, np.float32)
+            assert r.node not in near and len(set(near)) == len(near) <= 5
+            assert np.allclose(sim, (direction[near] @ direction[r.node]) * length[near], atol=1e-5)
+            seen[r.node] = seen.get(r.node, 0) + (len(near) == 5)
+        assert set(seen) == set(range(700)) and min(seen.values()) >= 1 and sum(seen.values()) >= 0.95 * 3 * 700
+
+
 def brute_components(texts, n, percent):
     sets = {d: decontaminate.real_shingles(words(t), n) for d, t in texts.items()}
     parent = {d: d for d in sets}
