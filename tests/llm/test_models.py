@@ -121,6 +121,22 @@ def test_neighbour_odd_rows(spark):
     assert neighbours.nearest(vectors.filter("false"), F.lit(True)).count() == 0
 
 
+def test_rows_of_the_query_s_own_id_take_no_place_in_its_list(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(60, 8))
+    twice = [(i, x.tolist()) for i, x in enumerate(v) for _ in range(2)]  # every row twice
+    many = [(1000, (10 + rng.normal(size=8)).tolist()) for _ in range(300)]  # one id, many vectors, all long and alike
+    copies = [(2000, v[0].tolist())] * 50 + [(2000 + i, v[0].tolist()) for i in range(1, 5)]
+    vectors = spark.createDataFrame(twice + many + copies, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(vectors, F.col("vec_id").isin(0, 20, 1000, 2000)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    want = brute_neighbours(twice + many + copies, [20])
+    assert sorted(got[20]) == sorted([*enumerate((i for i, _ in want[20]), 1)] * 2)  # asked twice
+    assert all(i != q for q, found in got.items() for _, i in found)
+    assert {r for r, _ in got[0]} == {r for r, _ in got[1000]} == {r for r, _ in got[2000]} == set(range(1, 21))
+
+
 def test_all_namers_of_a_node_meet_its_neighbours_in_small_groups(spark):
     near = {i: [0, 1 + i % 7, 8 + i % 5] for i in range(20, 600)}
     near |= {i: [20 + i, 40 + i, 60 + i] for i in range(20)}
