@@ -46,6 +46,23 @@ def test_silhouette_blocks_equal_brute_force(ws):
     assert segment.linear_silhouette(labelled).first()["metric"] == "squared_euclidean"
 
 
+def test_silhouettes_of_all_k_compute_a_distance_once(spark, ws, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, *map(float, z), int(i % 2), int(i % 3) if i else 7, None if i == 5 else 1) for i, z in enumerate(rng.normal(size=(90, 3)))]
+    labelled = spark.createDataFrame(rows, "customer_id long, z_recency double, z_frequency double, z_monetary double, two int, four int, gap int")
+    got = segment.silhouettes(labelled, ["two", "four", "gap"]).first()
+    for c in ("two", "four", "gap"):
+        assert got[c] == pytest.approx(segment.silhouette(labelled.withColumnRenamed(c, "segment")).first()["silhouette"])
+    assert got["gap"] == 0.0 and segment.silhouettes(labelled.filter("false"), ["two"]).first()["two"] is None
+    products, product = [], segment.grid_product
+    monkeypatch.setattr(segment, "grid_product", lambda *a: products.append(a) or product(*a))
+    found = segment.choose_k(ws.features("train"), range(2, 5), n_init=2).collect()
+    assert [r["k"] for r in found] == [2, 3, 4] and len(products) == 1
+    labels = segment.assign_labels(segment.prepare(ws.features("train"), ws.scaler), segment.centroids_of(
+        segment.fit_kmeans(segment.prepare(ws.features("train"), ws.scaler), 3, 2)))
+    assert found[1]["silhouette"] == pytest.approx(segment.silhouette(labels).first()["silhouette"])
+
+
 def test_profile_and_quintiles(ws):
     n = ws.features("train").count()
     prof = segment.segment_profile(ws.features("train"), ws.segment_labels(FIXED_CENTROIDS)).toPandas()
