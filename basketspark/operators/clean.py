@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketspark.session import shuffles_released
 from basketspark.sources.ledger import LEDGER_COLUMNS, MONEY_TYPE, read_if_present
 
 # Stock codes that are not products, compared in upper case.
@@ -73,19 +74,23 @@ def line_total() -> Column:
     return (F.col("quantity") * F.col("price")).cast(MONEY_TYPE)
 
 
+def kept_lines(raw: DataFrame) -> DataFrame:
+    """Known-customer product lines of both sides, copies included."""
+    returned = is_return()
+    return raw.select(*LEDGER_COLUMNS).filter(
+        F.col("invoice_date").isNotNull() & F.col("quantity").isNotNull() & F.col("price").isNotNull()
+        & is_product_code() & is_well_formed() & F.col("customer_id").isNotNull()
+        & (returned | (F.col("price") > 0))
+    )
+
+
 def valid_lines(raw: DataFrame) -> DataFrame:
     """Known-customer product lines of both sides, deduplicated, with ``is_return`` and ``line_total``.
 
     Row filters commute with exact deduplication, so they run first and reach
     the scan; only surviving rows are shuffled to be deduplicated.
     """
-    returned = is_return()
-    kept = raw.select(*LEDGER_COLUMNS).filter(
-        F.col("invoice_date").isNotNull() & F.col("quantity").isNotNull() & F.col("price").isNotNull()
-        & is_product_code() & is_well_formed() & F.col("customer_id").isNotNull()
-        & (returned | (F.col("price") > 0))
-    )
-    return kept.dropDuplicates().withColumns({"is_return": is_return(), "line_total": line_total()})
+    return kept_lines(raw).dropDuplicates().withColumns({"is_return": is_return(), "line_total": line_total()})
 
 
 def purchases_of(lines: DataFrame) -> DataFrame:
@@ -170,17 +175,23 @@ def clean_summary(purchases: DataFrame) -> DataFrame:
     return head.select("n_rows", "n_customers", products.scalar().alias("n_products"), "first_date", "last_date")
 
 
-def write_clean_tables(raw: DataFrame, path: str) -> None:
-    """Both sides in one pass, laid out by date so that date filters skip files and row groups."""
-    (
-        valid_lines(raw)
-        .withColumn("side", F.when(F.col("is_return"), "returns").otherwise("purchases")).drop("is_return")
-        .repartitionByRange("side", "invoice_date", "invoice", "stock_code")
+def laid_out(raw: DataFrame) -> DataFrame:
+    """Both sides, deduplicated and sorted by date within ranges. Copies of a row lie in the same range, so the ledger is shuffled once for both."""
+    return (
+        kept_lines(raw)
+        .withColumn("side", F.when(is_return(), "returns").otherwise("purchases"))
+        .repartitionByRange("side", "invoice_date", "invoice", "stock_code").dropDuplicates()
+        .withColumn("line_total", line_total()).select(*LEDGER_COLUMNS, "line_total", "side")
         .sortWithinPartitions("side", "invoice_date", "invoice", "stock_code")
-        .write.mode("overwrite").partitionBy("side").parquet(path)
     )
 
 
+def write_clean_tables(raw: DataFrame, path: str) -> None:
+    """Both sides in one pass, laid out by date so that date filters skip files and row groups."""
+    with shuffles_released(raw.sparkSession):
+        laid_out(raw).write.mode("overwrite").partitionBy("side").parquet(path)
+
+
 def read_purchases(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/side=purchases")
 

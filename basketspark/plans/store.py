@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.operators import boosting, segment, value
-from basketspark.session import scratch_dir
+from basketspark.session import scratch_dir, shuffles_released
 from basketspark.sources.ledger import read_if_present
 
 REGISTER = "name string, kind string, path string, entered timestamp"
@@ -117,7 +117,12 @@ class ArtefactStore:
         return self.entries[name]
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return self.spark.read.parquet(self.path_of(name, lambda path: build().write.parquet(path)))
+        def write(path: str) -> None:
+            built = build()
+            with shuffles_released(self.spark):
+                built.write.parquet(path)
+
+        return self.spark.read.parquet(self.path_of(name, write))
 
     def model(self, name: str, fit: Callable[[], Any], kind: str) -> Any:
         """The stored object, fitted and written where there is none yet."""

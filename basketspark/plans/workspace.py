@@ -30,6 +30,9 @@ class Workspace:
     ``trees`` bounds the boosting rounds per model family; the operators'
     own defaults are larger and apply when a family is not listed. ``store`` is
     the folder of stored artefacts (see :mod:`basketspark.plans.store`);
+    ``sources`` are the tables that ``raw`` is derived from, by this library's code:
+    with them it is their content that the digest is made of, and the ledger need not
+    be joined for it;
     ``vector_source`` is the table behind ``external_vectors``, whose content
     then is part of the digest.
     """
@@ -37,17 +40,19 @@ class Workspace:
     def __init__(self, spark: SparkSession, raw: Callable[[], DataFrame], key: str = "ledger", window_days: int = split.WINDOW_DAYS,
                  trees: dict[str, int] | None = None, n_init: int = 10, depth: int = 6,
                  external_vectors: Callable[[DataFrame], DataFrame] | None = None,
-                 vector_source: Callable[[], DataFrame] | None = None, store: str | None = None):
+                 vector_source: Callable[[], DataFrame] | None = None, store: str | None = None,
+                 sources: Callable[[], list[DataFrame]] | None = None):
         self.spark, self.raw, self.window_days, self.key = spark, raw, window_days, key
         self.trees, self.n_init, self.depth = trees or {}, n_init, depth
         self.external_vectors, self.vector_source, self.store_folder = external_vectors, vector_source, store
+        self.sources = sources or (lambda: [self.raw()])
         self._tables: dict[str, DataFrame] = {}
         self._models: dict[str, object] = {}
 
     @cached_property
     def digest(self) -> str:
         parameters = {"key": self.key, "window_days": self.window_days, "trees": self.trees, "n_init": self.n_init, "depth": self.depth}
-        return artefact_digest(parameters, self.raw(), *([self.vector_source()] if self.vector_source else []))
+        return artefact_digest(parameters, *self.sources(), *([self.vector_source()] if self.vector_source else []))
 
     @cached_property
     def store(self) -> ArtefactStore:

@@ -16,19 +16,24 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def ledger_from_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """lineitem x orders x part x customer x nation as ledger rows. Catalyst picks the join types."""
+def ledger_tables(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """What :func:`ledger_from_orders` reads: lines, orders, parts, buyers, nations."""
     lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice")
     buyers = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
+    return [lines, orders, parts, buyers, nations]
 
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(buyers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")), F.col("o_custkey") == F.col("c_custkey"))
-    )
+
+def ledger_from_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem x orders x part x customer x nation as ledger rows. Catalyst picks the join types.
+
+    Buyers are joined to the orders, before there is a row a line; parts, whose names are the widest column, come last.
+    """
+    lines, orders, parts, buyers, nations = ledger_tables(spark, folder)
+    placed = orders.join(buyers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")), F.col("o_custkey") == F.col("c_custkey"))
+    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     key = F.col("l_partkey")
     cancelled = (F.col("l_returnflag") == "R") & (key % 4 == 0)
     code = (

@@ -44,6 +44,19 @@ def test_report_counts_every_step_in_order(spark):
     assert {r["invoice"] for r in returns.collect()} == {"C10", "c11", "12"}
 
 
+def test_clean_tables_drop_copies_where_the_ledger_is_laid_out(spark, tmp_path):
+    rows = [(f"{'C' if i % 9 == 0 else ''}{i % 40}", f"{10000 + i % 7}", "thing", 1 + i % 3, datetime(2020, 1, 1 + i % 20), 2, i % 5 or None, "UK") for i in range(400)]
+    schema = "invoice string, stock_code string, description string, quantity int, invoice_date timestamp_ntz, price decimal(12,4), customer_id long, country string"
+    raw = spark.createDataFrame([(*r[:5], Decimal(r[5]), *r[6:]) for r in rows * 2], schema).repartition(6)
+    clean.write_clean_tables(raw, f"{tmp_path}/clean")
+    stored = spark.read.parquet(f"{tmp_path}/clean")
+    lines = clean.valid_lines(raw).withColumn("side", F.when(F.col("is_return"), "returns").otherwise("purchases"))
+    assert sorted(map(str, stored.select(*clean.LEDGER_COLUMNS, "line_total", "side").collect())) == sorted(
+        map(str, lines.select(*clean.LEDGER_COLUMNS, "line_total", "side").collect()))
+    plan = clean.laid_out(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 2 and plan.count("Exchange rangepartitioning") == 1  # the other is the test's own
+
+
 def test_write_clean_tables_and_returns(spark, tmp_path):
     raw = raw_frame(spark, [row(), row(invoice="C2", qty=-2, price="3.50"), row(invoice="3", price="0")])
     found = clean.load_returns(spark, str(tmp_path / "t"), raw).collect()

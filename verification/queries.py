@@ -12,7 +12,7 @@ from basketspark.operators import boosting, clean, features, metrics, recommend,
 from basketspark.operators.features import FEATURE_COLUMNS, RFM_COLUMNS
 from basketspark.plans.workspace import Workspace
 from basketspark.sources import ledger, serving
-from basketspark.sources.order_tables import ledger_from_orders, read_table, vectors_from_embeddings
+from basketspark.sources.order_tables import ledger_from_orders, ledger_tables, read_table, vectors_from_embeddings
 from basketspark.streaming.scoring import score_requests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +34,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
         _workspaces[key] = Workspace(
             spark, lambda: ledger_from_orders(spark, folder), folder,
             external_vectors=lambda items: vectors_from_embeddings(spark, folder, items),
-            vector_source=lambda: read_table(spark, folder, "embeddings"),
+            vector_source=lambda: read_table(spark, folder, "embeddings"), sources=lambda: ledger_tables(spark, folder),
         )
     return _workspaces[key]
 
