@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketspark.functions.joins import grid_product
+from basketspark.session import written, written_batches
 
 SIM_DECIMALS = 9
 
@@ -33,48 +35,107 @@ def weighted_vector_sum(rows: DataFrame, key: str, weight: str, vector: str, dim
     return rows.groupBy(key).agg(*sums).select(key, F.array(*[F.col(f"_v{i}") for i in range(dim)]).alias(out))
 
 
+def vector_blocks(path: str, key: str, rows: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """From a task: the keys and vectors of a written table (key, vector) block by block; null components are not numbers."""
+    for block in written_batches(path, [key, "vector"], rows):
+        if block.num_rows:
+            yield block.column(0).to_numpy(zero_copy_only=False), block.column(1).flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1)
+
+
+def owned_vector_sums(rows: DataFrame, vectors: DataFrame, key: str, item: str, weight: str, out: str = "vector", rows_at_once: int = 100_000) -> DataFrame:
+    """Sum of weight x item vector per key, as :func:`weighted_vector_sum` of the two tables' join, of which no row is ever shuffled.
+
+    The vectors are written once; rows are dealt by key, and a task reads the vectors block by block beside the rows
+    of whole keys. Null components add nothing, and a key of which no item has a vector has no row.
+    """
+    path = written(vectors.filter("vector IS NOT NULL").select(item, F.col("vector").cast("array<double>")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            keys = rest[key].to_numpy()
+            last = int(np.searchsorted(keys, keys[-1])) if len(keys) >= rows_at_once else 0
+            if last:
+                yield sums(rest.iloc[:last])
+                rest = rest.iloc[last:]
+        if rest is not None and len(rest):
+            yield sums(rest)
+
+    def sums(part: pd.DataFrame) -> pd.DataFrame:
+        keys, who = np.unique(part[key].to_numpy(), return_inverse=True)
+        items, w = part[item].to_numpy(), part[weight].to_numpy(float)
+        total, found = None, np.zeros(len(keys), bool)
+        for names, m in vector_blocks(path, item):
+            order = np.argsort(names, kind="stable")
+            lo, hi = (np.searchsorted(names[order], items, side) for side in ("left", "right"))
+            n = hi - lo
+            total = np.zeros((len(keys), m.shape[1])) if total is None else total
+            row = np.repeat(np.arange(len(items)), n)  # sorted by key, as the rows are
+            if len(row):
+                at = order[np.arange(len(row)) - np.repeat(np.cumsum(n) - n - lo, n)]
+                own = who[row]
+                starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                total[own[starts]] += np.add.reduceat(np.nan_to_num(m)[at] * w[row][:, None], starts, axis=0)
+                found[own[starts]] = True
+        return pd.DataFrame({key: keys[found], out: pd.Series(list(total[found]) if found.any() else [], dtype=object)})
+
+    dealt = rows.select(key, item, weight).repartition(key).sortWithinPartitions(key)
+    return dealt.mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, {out} array<double>")
+
+
 def top_n_by_similarity(left: DataFrame, right: DataFrame, left_id: str, right_id: str, n: int,
                         exclude_self: bool = False, left_chunk: int = 4096, right_chunk: int = 8192) -> DataFrame:
     """For every left row the ``n`` right rows with the largest dot product, best first.
 
-    Exact: each block of the product keeps its own best ``n`` (ties by right id)
-    and the blocks are merged per left row. Returns (left_id, right_id,
-    similarity, rank).
+    Exact. The right side is written once, and every task reads it block by block beside its own left rows and keeps
+    their best ``n`` so far (ties by right id), so nothing but the left rows is shuffled and a task holds two blocks.
+    Where left ids repeat, the lists of an id are merged. Returns (left_id, right_id, similarity, rank).
     """
-    lid_type = dict(left.dtypes)[left_id]
-    rid_type = dict(right.dtypes)[right_id]
+    kinds = dict(left.dtypes)[left_id], dict(right.dtypes)[right_id]
     other = "_other" if left_id == right_id else right_id
-    a = left.select(F.col(left_id), F.col("vector"))
-    b = right.select(F.col(right_id), F.col("vector"))
-
-    def best_in_block(rows: pd.DataFrame, cols: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({left_id: [], other: [], "similarity": []})
-        if rows.empty or cols.empty:
-            return empty
-        cols = cols.sort_values(right_id)
-        ids, item = rows[left_id].to_numpy(), cols[right_id].to_numpy()
-        m = np.stack(cols["vector"].to_numpy()).astype(np.float64)
-        vecs = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-        parts = []
-        for lo in range(0, len(ids), 512):
-            sims = np.round(vecs[lo:lo + 512] @ m.T, SIM_DECIMALS)
-            if exclude_self:
-                sims[ids[lo:lo + 512][:, None] == item[None, :]] = -np.inf
-            keep = min(n, sims.shape[1])
-            floor = np.partition(sims, sims.shape[1] - keep, axis=1)[:, sims.shape[1] - keep]
-            # everything at or above the n-th value, ties included, then cut by (value, id)
-            r, c = np.nonzero(sims >= floor[:, None])
-            order = np.lexsort((c, -sims[r, c], r))
-            r, c = r[order], c[order]
-            place = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-            r, c = r[place < keep], c[place < keep]
-            parts.append(pd.DataFrame({left_id: ids[lo + r], other: item[c], "similarity": sims[r, c]}))
-        out = pd.concat(parts, ignore_index=True)
-        return out[np.isfinite(out["similarity"])]
-
-    per_block = grid_product(
-        a, b, left_id, right_id, best_in_block,
-        f"{left_id} {lid_type}, {other} {rid_type}, similarity double", left_chunk, right_chunk,
-    )
+    left, right = left.filter("vector IS NOT NULL"), right.filter("vector IS NOT NULL")
+    path = written(right.select(right_id, F.col("vector").cast("array<double>")))
+    n_left, parallel = left.count(), left.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-n_left // left_chunk), min(parallel, n_left // 64))
+    repeated = not left.groupBy(left_id).count().filter("count > 1").isEmpty()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), left_chunk):
+                yield nearest(batch[left_id].to_numpy()[lo:lo + left_chunk], np.stack(batch["vector"].to_numpy()[lo:lo + left_chunk]).astype(float))
+
+    def nearest(ids: np.ndarray, vecs: np.ndarray) -> pd.DataFrame:
+        row, item, sim = np.zeros(0, np.int64), None, np.zeros(0)
+        floor = np.full(len(ids), -np.inf)  # the n-th best so far
+        for names, m in vector_blocks(path, right_id, right_chunk):
+            new = [better(ids, vecs, names, m, floor, lo) for lo in range(0, len(ids), 512)]
+            row, sim = (np.concatenate([old, *(x[i] for x in new)]) for i, old in ((0, row), (2, sim)))
+            item = np.concatenate([*([] if item is None else [item]), *(x[1] for x in new)])
+            order = np.lexsort((item, -sim, row))
+            row, item, sim = row[order], item[order], sim[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+            row, item, sim, place = (x[place < n] for x in (row, item, sim, place))
+            floor[row[place == n - 1]] = sim[place == n - 1]
+        place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+        return pd.DataFrame({left_id: ids[row], other: [] if item is None else item, "similarity": sim, "rank": (place + 1).astype(np.int32)})
+
+    def better(ids: np.ndarray, vecs: np.ndarray, names: np.ndarray, m: np.ndarray, floor: np.ndarray, lo: int) -> tuple[np.ndarray, ...]:
+        """Row, right id and similarity of the pairs of some rows with a block that may be among the best, all ties included."""
+        own = slice(lo, lo + 512)
+        sims = np.round(vecs[own] @ m.T, SIM_DECIMALS)
+        sims[np.isnan(sims)] = -np.inf
+        if exclude_self:
+            sims[ids[own][:, None] == names[None, :]] = -np.inf
+        least = floor[own]
+        if len(names) > n and np.isneginf(least).any():  # the block's own n-th best, where there is no floor yet
+            least = np.maximum(least, np.partition(sims, len(names) - n, axis=1)[:, len(names) - n])
+        r, c = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+        return lo + r, names[c], sims[r, c]
+
+    schema = f"{left_id} {kinds[0]}, {other} {kinds[1]}, similarity double, rank int"
+    found = left.select(left_id, "vector").repartition(tasks, left_id).mapInPandas(run, schema)
+    if not repeated:
+        return found
     best = Window.partitionBy(left_id).orderBy(F.desc("similarity"), F.asc(other))
-    return per_block.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)

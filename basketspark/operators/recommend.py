@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from basketspark.functions.hashing import hash_bucket
 from basketspark.functions.joins import lookup_join, salted_join
 from basketspark.functions.ranks import global_row_number
-from basketspark.functions.vectors import SIM_DECIMALS, dot, top_n_by_similarity, unit, weighted_vector_sum
+from basketspark.functions.vectors import SIM_DECIMALS, dot, owned_vector_sums, top_n_by_similarity, unit
 from basketspark.operators.features import days_before
 from basketspark.session import cut_lineage, scratch_dir
 
@@ -125,10 +125,9 @@ def purchase_weights(observation: DataFrame, items: DataFrame, cutoff: datetime,
     )
 
 
-def customer_vectors(weights: DataFrame, vectors: DataFrame, dim: int = 64) -> DataFrame:
+def customer_vectors(weights: DataFrame, vectors: DataFrame) -> DataFrame:
     """Weighted sum of owned item vectors, unit length: (customer_id, vector)."""
-    rows = lookup_join(weights, vectors.select("item_idx", "vector"), "item_idx", max_broadcast_rows=VECTOR_BROADCAST_ROWS)
-    return normalised_vectors(weighted_vector_sum(rows, "customer_id", "weight", "vector", dim, "raw"), "customer_id", "raw")
+    return normalised_vectors(owned_vector_sums(weights, vectors, "customer_id", "item_idx", "weight", "raw"), "customer_id", "raw")
 
 
 def retrieve_top_n(customers: DataFrame, vectors: DataFrame, n: int = N_CANDIDATES) -> DataFrame:

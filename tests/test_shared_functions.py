@@ -1,5 +1,7 @@
 """Ranks, quantiles, joins and vector blocks against brute force, including heavy keys."""
 
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketspark.functions import joins, ranks, vectors
 from basketspark.operators import metrics
+from basketspark.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -151,3 +154,56 @@ def test_rank_metrics_count_customers_without_a_list(spark):
     t = spark.createDataFrame([(1, 1), (2, 5)], "customer_id int, item_idx int")
     m = metrics.rank_metrics(r, t, 1).first()
     assert m["customers_scored"] == 2 and m["recall"] == 0.5
+
+
+def test_top_n_moves_the_left_side_only_and_merges_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=(150, 6)), rng.normal(size=(70, 6)).round(1)
+    b[40:] = b[:30]  # ties
+    left = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "u long, vector array<double>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(b)], "i int, vector array<double>")
+    once = vectors.top_n_by_similarity(left, right, "u", "i", 9, False, 64, 16)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "CoGroup" not in plan and "Window" not in plan
+
+    def best(ids):
+        sims = np.round(np.concatenate([b @ a[i] for i in ids]), vectors.SIM_DECIMALS)
+        items = np.concatenate([np.arange(len(b))] * len(ids))
+        return [(int(items[j]), sims[j]) for j in np.lexsort((items, -sims))[:9]]
+
+    got = {}
+    for r in once.collect():
+        got.setdefault(r["u"], []).append((r["rank"], r["i"], r["similarity"]))
+    assert {u: [x[1:] for x in sorted(f)] for u, f in got.items()} == {u: best([u]) for u in range(150)}
+    pairs = left.withColumn("u", F.floor(F.col("u") / 2))  # two rows an id: one list
+    got = {}
+    for r in vectors.top_n_by_similarity(pairs, right, "u", "i", 9, False, 64, 16).collect():
+        got.setdefault(r["u"], []).append((r["rank"], r["i"], r["similarity"]))
+    assert {u: [x[1:] for x in sorted(f)] for u, f in got.items()} == {u: best([2 * u, 2 * u + 1]) for u in range(75)}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split(" ")
+
+    before = set(files())
+    kept = cut_lineage(spark.range(5000).repartition(7, "id"))
+    until = time.time() + 20
+    while (left := {f for f in set(files()) - before if "/shuffle_" in f}) and time.time() < until:
+        time.sleep(0.2)
+    assert kept.count() == 5000 and not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_owned_vector_sums_equal_the_join_without_shuffling_it(spark):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(int(c), int(i), float(w)) for c, i, w in zip(rng.integers(0, 40, 900), rng.integers(0, 60, 900), rng.random(900))] + [(99, 999, 1.0)],
+                                 "c long, i int, w double")
+    held = [(i % 50, rng.normal(size=5).tolist()) for i in range(55)] + [(50, [1.0, None, 2.0, 3.0, 4.0]), (51, None)]  # five items twice
+    items = spark.createDataFrame(held, "i int, vector array<double>")
+    sums = vectors.owned_vector_sums(rows, items, "c", "i", "w", rows_at_once=100)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    got = {r["c"]: r["vector"] for r in sums.collect()}
+    want = {r["c"]: r["vector"] for r in vectors.weighted_vector_sum(rows.join(items.filter("vector IS NOT NULL"), "i"), "c", "w", "vector", 5).collect()}
+    assert set(got) == set(want) and 99 not in got and all(got[c] == pytest.approx(want[c]) for c in want)
