@@ -37,6 +37,15 @@ def test_register_keeps_complete_artefacts_only(spark):
     assert late.table("t", lambda: spark.range(9)).count() == 3
 
 
+def test_digest_of_a_derived_ledger_is_that_of_its_tables(spark):
+    def digest(*tables):
+        return Workspace(spark, lambda: 1 / 0, "derived", sources=lambda: [*tables]).digest  # the ledger itself is not built for it
+
+    one = digest(spark.range(3), spark.range(5))
+    assert one == digest(spark.range(3).repartition(2), spark.range(5))
+    assert len({one, digest(spark.range(4), spark.range(5)), digest(spark.range(5), spark.range(3)), digest(spark.range(3))}) == 4
+
+
 def test_second_session_answers_metrics_without_a_fit(spark, monkeypatch):
     root, trees = f"{scratch_dir(spark)}/store-sessions", {"classifier": 3, "regressor": 3, "ranker": 2, "listwise": 2}
 
